@@ -39,6 +39,8 @@ LISTS = 12
 COMMON = 256
 BLOCK_ROWS = 256
 BLOCK_SHINGLES = 2_000_000
+#: Blocks of up to so many rows are estimated together, all pairs at once.
+WHOLE_BLOCK = 48
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -95,8 +97,34 @@ def cutoff(percent: int, k: int) -> float:
     return t - 5 * sqrt(t * (1 - t) / k)
 
 
+def block_links(sketches: np.ndarray, upto: np.ndarray, least: float, chunk: np.ndarray, confirm=None) -> list[tuple[int, int]]:
+    """Links that join the rows of one block, a spanning forest of them; rows are sorted by set size.
+
+    Row i is compared with rows up to upto[i] that it isn't joined with yet.  In a block of two chunks,
+    links inside a chunk only join (the chunk's own block returns them), so what is returned grows with
+    the number of rows, not with the number of blocks a row is in.
+    """
+    label, out = np.arange(len(sketches)), []
+    inside = chunk[0] != chunk if len(chunk) else chunk
+    phases = (("own", False), ("other", True)) if inside.any() else (("all", True),)
+    for which, told in phases:
+        for i in range(len(sketches)):
+            near = np.arange(i + 1, upto[i])
+            near = near[label[near] != label[i]]
+            if which != "all":
+                near = near[(chunk[near] == chunk[i]) == (which == "own")]
+            if not len(near):
+                continue
+            for j in near[union_estimates(sketches, np.full(len(near), i), near) >= least].tolist():
+                if label[i] != label[j] and (confirm is None or confirm(i, j)):
+                    label[label == label[j]] = label[i]
+                    if told:
+                        out.append((i, j))
+    return out
+
+
 def coarse_links(percent: int, k: int):
-    """mapInArrow function over (v, bi, bj, node, n_shingles, sketch) sorted by block -> (a, b)."""
+    """mapInArrow function over (v, bi, bj, chunk, node, n_shingles, sketch) sorted by block -> (a, b)."""
     least = cutoff(percent, k)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,8 +164,13 @@ def coarse_links(percent: int, k: int):
             sketch = t.column("sketch").combine_chunks()
             sketch = sketch.combine_chunks() if isinstance(sketch, pa.ChunkedArray) else sketch
             ends, flat = np.asarray(sketch.offsets), np.asarray(sketch.values).view(np.uint64)
-            rows.append(_padded([flat[ends[i] : ends[i + 1]] for i in order], k))
-            nodes.append(t.column("node").to_numpy()[order])
+            low, node = _padded([flat[ends[i] : ends[i + 1]] for i in order], k), t.column("node").to_numpy()[order]
+            if m > WHOLE_BLOCK:
+                pair = np.array(block_links(low, upto, least, t.column("chunk").to_numpy()[order]), dtype=np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(node[pair[:, 0]]), pa.array(node[pair[:, 1]])], names=["a", "b"])
+                continue
+            rows.append(low)
+            nodes.append(node)
             left.append(a + held)
             right.append(b + held)
             held += m
@@ -152,7 +185,7 @@ def coarse_links(percent: int, k: int):
 
 
 def exact_links(percent: int, k: int, size: int):
-    """mapInArrow function over (root, bi, bj, node, text) sorted by block -> confirmed (a, b)."""
+    """mapInArrow function over (root, bi, bj, chunk, node, text) sorted by block -> confirmed (a, b)."""
     least = cutoff(percent, k)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,20 +195,13 @@ def exact_links(percent: int, k: int, size: int):
             order = np.argsort([len(s) for s in sets], kind="stable")
             sets = [sets[i] for i in order]
             n = np.array([len(s) for s in sets], dtype=np.int64)
-            sketches, forest, out = _padded(sets, k), Forest(len(sets)), []
+
+            def same(i: int, j: int, sets=sets) -> bool:
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                return 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both)
+
             upto = np.searchsorted(n * percent, n * 100, side="right")
-            for i in range(len(sets)):
-                near = np.arange(i + 1, upto[i])
-                if not len(near):
-                    continue
-                near = near[union_estimates(sketches, np.full(len(near), i), near) >= least]
-                for j in near.tolist():
-                    if forest.root(i) == forest.root(j):
-                        continue
-                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                    if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
-                        forest.join(i, j)
-                        out.append((i, j))
+            out = block_links(_padded(sets, k), upto, least, t.column("chunk").to_numpy()[order], same)
             ends = order[np.array(out, dtype=np.int64).reshape(-1, 2)]
             yield pa.RecordBatch.from_arrays([pa.array(node[ends[:, 0]]), pa.array(node[ends[:, 1]])], names=["a", "b"])
 
@@ -191,7 +217,7 @@ def _blocks(df: DataFrame, chunks) -> DataFrame:
         .withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
         .withColumn("bi", F.least("chunk", "other"))
         .withColumn("bj", F.greatest("chunk", "other"))
-        .drop("chunks", "chunk", "other")
+        .drop("chunks", "other")
     )
 
 
@@ -224,7 +250,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = SKETCH, m: int
     lists = picks.groupBy("v").agg(F.count("*").alias("members")).where("members > 1")
     blocks = _blocks(picks.join(lists, "v"), F.col("members") / BLOCK_ROWS)
     coarse = (
-        blocks.select("v", "bi", "bj", "node")
+        blocks.select("v", "bi", "bj", "chunk", "node")
         .join(classes.select("node", "n_shingles", "sketch"), "node")
         .repartition("v", "bi", "bj")
         .sortWithinPartitions("v", "bi", "bj")
@@ -241,7 +267,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = SKETCH, m: int
         .dropDuplicates(["node"])
     )
     confirmed = (
-        placed.select("root", "bi", "bj", "node")
+        placed.select("root", "bi", "bj", "chunk", "node")
         .join(chosen, "node")
         .repartition("root", "bi", "bj")
         .sortWithinPartitions("root", "bi", "bj")
