@@ -20,6 +20,8 @@ _LOWER = np.arange(256, dtype=np.uint64) + 1
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Everything in ASCII but letters and digits, for words without their punctuation.
+PLAIN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _COEF = np.array([pow(0xD1342543DE82EF95, k + 1, 1 << 64) | 1 for k in range(64)], dtype=np.uint64)
 _POWERS: dict[str, np.ndarray] = {}
 
@@ -45,9 +47,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _segment_words(buf: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _segment_words(buf: np.ndarray, begins: np.ndarray, gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and start bytes of the words of ``buf``; no word spans a position in ``begins``."""
-    space = _SPACE[buf]
+    space = gaps[buf]
     cut = np.zeros(len(buf) + 1, dtype=bool)
     cut[begins] = True
     cut[-1] = True
@@ -79,13 +81,16 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return off, raw
 
 
-def word_hashes(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, hashes, words per row) for runs of rows that cover the column in order."""
+def word_hashes(column: pa.Array, gaps: np.ndarray = _SPACE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, hashes, words per row) for runs of rows that cover the column in order.
+
+    gaps: which bytes separate words.
+    """
     off, raw = text_buffers(column)
     n, i = len(off) - 1, 0
     while i < n:
         if off[i + 1] - off[i] > SEGMENT:
-            hashes = np.concatenate(list(_long_text(raw[off[i] : off[i + 1]])))
+            hashes = np.concatenate(list(_long_text(raw[off[i] : off[i + 1]], gaps)))
             yield i, i + 1, hashes, np.array([len(hashes)])
             i += 1
             continue
@@ -94,23 +99,23 @@ def word_hashes(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
         if not len(buf):
             yield i, j, np.zeros(0, dtype=np.uint64), np.zeros(j - i, dtype=np.int64)
         else:
-            hashes, starts = _segment_words(buf, begins)
+            hashes, starts = _segment_words(buf, begins, gaps)
             yield i, j, hashes, np.diff(np.searchsorted(starts, begins))
         i = j
 
 
-def _long_text(buf: np.ndarray) -> Iterator[np.ndarray]:
+def _long_text(buf: np.ndarray, gaps: np.ndarray) -> Iterator[np.ndarray]:
     at = 0
     while at < len(buf):
         end = min(at + SEGMENT, len(buf))
         if end < len(buf):
-            gaps = np.flatnonzero(_SPACE[buf[at:end]])
-            if len(gaps):
-                end = at + int(gaps[-1]) + 1
+            found = np.flatnonzero(gaps[buf[at:end]])
+            if len(found):
+                end = at + int(found[-1]) + 1
             else:  # one word longer than a segment
-                more = np.flatnonzero(_SPACE[buf[end:]])
+                more = np.flatnonzero(gaps[buf[end:]])
                 end = end + int(more[0]) + 1 if len(more) else len(buf)
-        yield _segment_words(buf[at:end], np.array([0]))[0]
+        yield _segment_words(buf[at:end], np.array([0]), gaps)[0]
         at = end
 
 
