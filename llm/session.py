@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,13 +12,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder named by ``spark.checkpoint.dir``.
-
-    A folder is chosen here only when neither the session nor the context has one (tests, local mode).
-    """
-    spark = df.sparkSession
+def _ensure_folder(spark: SparkSession) -> None:
+    """Uses the folder named by ``spark.checkpoint.dir``; one is chosen here only where none is set (tests)."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+
+
+def checkpoint_folder(spark: SparkSession) -> str:
+    """A new folder for written tables inside the shared checkpoint folder."""
+    _ensure_folder(spark)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    return f"{base.rstrip('/')}/tables-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint, which outlives the executors."""
+    _ensure_folder(df.sparkSession)
     return df.checkpoint(eager=True)
