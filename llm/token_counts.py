@@ -41,19 +41,33 @@ def _byte_letters() -> dict[str, int]:
     return letters
 
 
-def _unassigned() -> str:
-    """A character class of the code points that the standard library's (older) Unicode tables leave open."""
+def unassigned_search():
+    """A test for code points that the standard library's (older) Unicode tables leave open.
+
+    Most texts end at the first, single-range test; the plane that has most characters is looked up in
+    a bitmap, and only texts with characters beyond it meet the list of ranges.
+    """
+    import re
     import sys
     import unicodedata
 
     runs: list[list[int]] = []
     for c in range(sys.maxunicode + 1):
         if unicodedata.category(chr(c)) == "Cn":
-            if runs and runs[-1][1] == c - 1:
+            if runs and runs[-1][1] == c - 1 and c != 0x10000:
                 runs[-1][1] = c
             else:
                 runs.append([c, c])
-    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs)
+    ranges = lambda low, high: "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs if low <= a < high)
+    some = re.compile(f"[\\U{runs[0][0]:08x}-\U0010ffff]").search
+    plane = re.compile(f"[{ranges(0, 0x10000)}]").search
+    beyond = re.compile("[\U00010000-\U0010ffff]").search
+    rest = re.compile(f"[{ranges(0x10000, 0x110000)}]").search
+
+    def search(text: str) -> bool:
+        return bool(some(text)) and bool(plane(text) or (beyond(text) and rest(text)))
+
+    return search
 
 
 def two_tier(spec: dict) -> bool:
@@ -109,9 +123,12 @@ class Counter:
         spec = json.loads(raw)
         self.tok, self.frequent, self.known = library(raw), frequent, dict(frequent)
         self.split = regex.compile(PATTERN).findall if two_tier(spec) else None
-        added = "|".join(regex.escape(t["content"]) for t in spec.get("added_tokens", []) if t["content"])
-        odd = rf"[{_unassigned()}]"
-        self.whole = regex.compile(f"{odd}|{added}" if added else odd).search
+        self.added = [t["content"] for t in spec.get("added_tokens", []) if t["content"]]
+        self.odd = unassigned_search()
+
+    def whole(self, text: str) -> bool:
+        """Whether the library has to see the whole text."""
+        return any(a in text for a in self.added) or self.odd(text)
 
     def counts(self, texts: list[str | None]) -> list[int]:
         out, whole, parts = [0] * len(texts), [], []
@@ -126,12 +143,13 @@ class Counter:
             for i, n in zip(whole, lengths(self.tok, [texts[i] for i in whole]), strict=True):
                 out[i] = n
         known = self.known
-        missing = list(set().union(*(p for _, p in parts)) - known.keys()) if parts else []
+        seen = set().union(*(p for _, p in parts))
+        missing = [p for p in seen if p not in known]
         extra = {}
         if missing:
             if len(known) - len(self.frequent) + len(missing) > CACHE:
                 known = self.known = dict(self.frequent)
-                missing = list(set().union(*(p for _, p in parts)) - known.keys())
+                missing = [p for p in seen if p not in known]
             for p, n in zip(missing, lengths(self.tok, missing), strict=True):
                 (known if len(p) <= LONGEST_CACHED else extra)[p] = n
         for i, p in parts:
