@@ -1,7 +1,7 @@
 """Toxicity by weak supervision.
 
-1. A bounded sample of labelled rows (``per_class`` of each label, the first by a hash of doc_id) proposes
-   features: words and word beginnings whose share among toxic rows stands out.
+1. A bounded sample of labelled rows (``per_class`` of each label, the first by a hash of doc_id, thinned of copies) proposes
+   features: words and word beginnings whose connection with the label is beyond chance.
 2. Suspicious features are dealt out to lexicon voters (words) and pattern voters (beginnings); a public
    list of insults, the number of hits, and the annotator are voters as well.
 3. A generative label model (expectation maximisation) estimates each voter's hit rate in either class.
@@ -20,7 +20,9 @@ decides (0.9 or 0.05); an empty table gives an empty table; other columns play n
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -29,13 +31,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.session import materialise, table
+from llm.textkernel import mix, shingle_sets
 
 #: Bounds of the fit: labelled rows of each class, features kept.
 PER_CLASS = 6000
 VOCABULARY = 6000
 VOTERS = 8
 THRESHOLD = 0.7
-BEGINNINGS = (4, 6)
+BEGINNINGS = (4, 5, 6)
 #: A public list of insults.
 INSULTS = (
     "asshole", "bastard", "bitch", "clown", "coward", "crap", "creep", "cretin", "degenerate", "disgusting", "dumb", "filth", "fool",
@@ -43,15 +46,32 @@ INSULTS = (
     "psycho", "racist", "rat", "scum", "shit", "slut", "stupid", "trash", "ugly", "vermin", "whore", "worthless",
     "arschloch", "dummkopf", "hurensohn", "schwein", "connard", "salope", "imbécile", "cabrón", "idiota", "puta",
 )
+#: The feature of texts that hold a listed insult.
+LISTED = "#listed"
 _WORDS = re.compile(r"\w+").findall
 
 
 def features(text: str | None) -> set[str]:
-    """Distinct lower-cased words, and beginnings (marked with a star) of longer ones."""
-    words = set(_WORDS(text.lower())) if text else set()
-    out = set(words)
+    """Distinct lower-cased words, beginnings of longer words, and whether an insult is listed.
+
+    A beginning is marked with one star; with two or three where words that begin so stand in the text
+    at least twice or four times, as a single word may begin like that by chance.
+    """
+    counts = Counter(_WORDS(text.lower())) if text else {}
+    out = set(counts)
+    if not out.isdisjoint(INSULTS):
+        out.add(LISTED)
     for n in BEGINNINGS:
-        out.update([w[:n] + "*" for w in words if len(w) > n])
+        starts: dict[str, int] = {}
+        for w, k in counts.items():
+            if len(w) >= n:
+                starts[w[:n]] = starts.get(w[:n], 0) + k
+        for w, k in starts.items():
+            out.add(w + "*")
+            if k > 1:
+                out.add(w + "**")
+                if k > 3:
+                    out.add(w + "***")
     return out
 
 
@@ -75,21 +95,34 @@ def _explode_features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays([pa.array([x for f in found for x in f], pa.string()), pa.array(toxic.astype(np.int32))], names=["f", "toxic"])
 
 
+def _smallest_shingles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        sets = list(shingle_sets(b.column("text")))
+        least = [[int((s[0] if k == 0 else mix(s ^ np.uint64(k)).min()).view(np.int64)) if len(s) else 0 for s in sets] for k in range(3)]
+        yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(x, pa.int64()) for x in least]], names=[*b.schema.names, "m0", "m1", "m2"])
+
+
+def _one_of_copies(texts: DataFrame) -> DataFrame:
+    """(doc_id, text, toxic) without most copies: of rows of a label with an equal smallest shingle hash, one.
+
+    Three hashes in turn leave a handful of rows of a group of near copies, so that words of one often
+    copied text do not pass for signs of its label.
+    """
+    rows = texts.select("doc_id", "text", "toxic").mapInArrow(_smallest_shingles, "doc_id long, text string, toxic int, m0 long, m1 long, m2 long")
+    for m in ("m0", "m1", "m2"):
+        rows = rows.groupBy("toxic", m).agg(F.min(F.struct("doc_id", "text", *[x for x in ("m0", "m1", "m2") if x != m])).alias("r")).select("toxic", m, "r.*")
+    return rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+
+
 class Model:
     """Weights by feature and a bias."""
 
     def __init__(self, weights: dict[str, float], bias: float) -> None:
         self.weights, self.bias = weights, bias
-        self.words = frozenset(w for w in weights if not w.endswith("*"))
-        self.starts = {n: frozenset(w for w in weights if w.endswith("*") and len(w) == n + 1) for n in BEGINNINGS}
 
     def score(self, text: str | None) -> float:
-        words = set(_WORDS(text.lower())) if text else set()
-        z = self.bias + sum(self.weights[w] for w in sorted(words & self.words))
-        for n, known in self.starts.items():
-            if known:
-                z += sum(self.weights[s] for s in sorted({w[:n] + "*" for w in words if len(w) > n} & known))
-        return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
+        z = self.bias + sum(self.weights[f] for f in sorted(features(text) & self.weights.keys()))
+        return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
 
 def label_model(votes: np.ndarray, rounds: int = 30, smooth: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,7 +152,7 @@ def label_model(votes: np.ndarray, rounds: int = 30, smooth: float = 1.0) -> tup
     return post, rates, weight
 
 
-def linear_classifier(rows: list[np.ndarray], target: np.ndarray, n: int, ridge: float = 1e-4, steps: int = 300, rate: float = 0.05) -> tuple[np.ndarray, float]:
+def linear_classifier(rows: list[np.ndarray], target: np.ndarray, n: int, ridge: float = 2e-4, steps: int = 800, rate: float = 0.05) -> tuple[np.ndarray, float]:
     """Logistic regression on sparse 0/1 rows with soft targets, by Adam over the whole sample; classes weigh alike."""
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     col = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int64)
@@ -143,20 +176,24 @@ def fit(docs: DataFrame, labelled: DataFrame, per_class: int = PER_CLASS, vocabu
     if not have.get(0) or not have.get(1):
         return fallback
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-    texts = materialise(texts.dropDuplicates(["doc_id"]))
+    texts = materialise(_one_of_copies(texts))
     counted = texts.select("toxic", "text").mapInArrow(_explode_features, "f string, toxic int")
     total = {r.toxic: r["count"] for r in texts.groupBy("toxic").count().collect()}
     if not total.get(0) or not total.get(1):
         return fallback
-    share = lambda y: (F.col(f"n{y}") + 0.5) / (total[y] + 1.0)
-    scored = (
-        counted.groupBy("f")
-        .agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0"))
-        .where("n1 + n0 >= 3")
-        .withColumn("odds", F.log(share(1) / share(0)))
-        .withColumn("gain", F.abs("odds") * F.sqrt(F.col("n1") + F.col("n0")))
+    rate = total[1] / (total[0] + total[1])
+    counts = materialise(
+        counted.groupBy("f").agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0")).where("n1 + n0 >= 3")
     )
-    top = scored.orderBy(F.desc("gain"), "f").limit(vocabulary).collect()  # bounded by vocabulary
+    # a feature stays if its likelihood ratio against no connection beats the number of features tried
+    tried = max(2, counts.count())
+    n = F.col("n1") + F.col("n0")
+    part = lambda c, r: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (n * r))).otherwise(0.0)
+    odds = F.log(((F.col("n1") + 0.5) / (total[1] + 1.0)) / ((F.col("n0") + 0.5) / (total[0] + 1.0)))
+    scored = counts.withColumn("odds", odds).withColumn("gain", part("n1", rate) + part("n0", 1 - rate))
+    top = scored.where(F.col("gain") >= float(np.log(tried))).orderBy(F.desc("gain"), "f").limit(vocabulary).collect()  # bounded by vocabulary
+    if not top:
+        return fallback
     names = [r.f for r in top]
     place = {f: i for i, f in enumerate(names)}
     insults = frozenset(INSULTS)
