@@ -125,14 +125,15 @@ class Model:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
 
-def label_model(votes: np.ndarray, rounds: int = 30, smooth: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def label_model(votes: np.ndarray, rounds: int = 30, smooth: float = 1.0, free: float = 0.25) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(posterior of class 1, hit rates by class and voter, voter weights) from a 0/1 matrix of rows by voters.
 
-    The last voter is the annotator, whose vote starts the posterior.  A voter's weight is one over the
-    sum of its absolute correlations with all voters (itself one) within the classes.
+    The last voter is the annotator, whose vote starts the posterior and who repeats nobody.  Another voter's
+    weight is one over the sum of its correlations with all but the annotator (itself one) within the
+    classes; correlations under ``free`` are taken for traces of rows that stand in the wrong class.
     """
     votes = votes.astype(float)
-    post = 0.1 + 0.8 * votes[:, -1]
+    post = 0.02 + 0.96 * votes[:, -1]
     rates, weight = np.full((2, votes.shape[1]), 0.5), np.ones(votes.shape[1])
     for _ in range(rounds):
         mass = np.array([(1 - post).sum(), post.sum()])
@@ -144,6 +145,8 @@ def label_model(votes: np.ndarray, rounds: int = 30, smooth: float = 1.0) -> tup
             cov = (centred * w[:, None]).T @ centred / max(mass[y], 1e-9)
             spread = np.sqrt(np.maximum(np.diag(cov), 1e-9))
             left += prior[y] * np.abs(cov / np.outer(spread, spread))
+        left = np.maximum(left - free, 0) / (1 - free)
+        left[-1] = left[:, -1] = 0
         np.fill_diagonal(left, 1.0)
         weight = 1 / left.sum(axis=1)
         gain = votes * np.log(rates[1] / rates[0]) + (1 - votes) * np.log((1 - rates[1]) / (1 - rates[0]))
