@@ -5,24 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
+from syncweave.storage import checkpointed
 
-
-def number_rows(rows: DataFrame, order: list[str], by: str = "year", buckets: int | None = None) -> DataFrame:
+def number_rows(rows: DataFrame, order: list[str], by: str = "year", wide: bool = False) -> DataFrame:
     """``rn``: 1.. in the given total order within each year.
 
-    With ``buckets``, a year is dealt into ranges of its first order column first, so that no task sorts a
-    whole year: rows are numbered inside a range and moved up by what the ranges before hold.
+    ``wide`` is for years that no task should sort alone: rows are dealt by ranges of (year, order), written
+    once so that the ranges hold still, numbered inside a range, and moved up by what the year's earlier
+    ranges hold.  Equal leading columns do no harm, as the whole order makes the ranges.
     """
-    if not buckets:
+    if not wide:
         return rows.withColumn("rn", F.row_number().over(Window.partitionBy(by).orderBy(*order)))
-    lead = F.col(order[0])
-    ends = rows.groupBy(by).agg(F.percentile_approx(lead, [i / buckets for i in range(1, buckets)], 10_000).alias("_ends"))
-    ranged = rows.join(F.broadcast(ends), by).withColumn("_b", F.size(F.filter("_ends", lambda e: e < lead))).drop("_ends")
+    ranged = checkpointed(rows.repartitionByRange(by, *order).withColumn("_b", F.spark_partition_id()))
     held = ranged.groupBy(by, "_b").agg(F.count("*").alias("_n"))
     before = held.select(by, "_b", (F.sum("_n").over(Window.partitionBy(by).orderBy("_b")) - F.col("_n")).alias("_before"))
     inside = ranged.withColumn("_i", F.row_number().over(Window.partitionBy(by, "_b").orderBy(*order)))
-    return inside.join(F.broadcast(before), [by, "_b"]).withColumn("rn", (F.col("_before") + F.col("_i")).cast("int")).drop("_b", "_before", "_i")
+    return inside.join(before, [by, "_b"]).withColumn("rn", (F.col("_before") + F.col("_i")).cast("int")).drop("_b", "_before", "_i")
 
 
 def segments(partitions: DataFrame, need: DataFrame, capacity: int) -> DataFrame:

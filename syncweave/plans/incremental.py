@@ -13,6 +13,7 @@ from syncweave.functions.identity import derive_key, fingerprint, record_id
 from syncweave.operators import changes, packing, reconcile, state
 from syncweave.schema import KEY, PAYLOAD, Field, transform
 from syncweave.sources import fact, target
+from syncweave.storage import checkpointed
 
 SEED = "2026-07-03 00:00:00"
 
@@ -57,12 +58,12 @@ def prepared(rows: DataFrame, fields: tuple[Field, ...] = PAYLOAD, key: Sequence
     return conformed.withColumn("checksum", fingerprint(*[F.col(f"payload.`{f.name}`").alias(f.name) for f in fields]))
 
 
-def plan(rows: DataFrame, store: Store, capacity: int, fields: tuple[Field, ...] = PAYLOAD) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(classified rows, inserts with their slots, segments); all lazy."""
+def plan(rows: DataFrame, store: Store, capacity: int, fields: tuple[Field, ...] = PAYLOAD, wide: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(classified rows, inserts with their slots, segments); lazy but for a wide numbering."""
     ready = prepared(rows, fields)
     classified = changes.classify(ready, store.mapping, store.years)
     new = classified.where("action = 'insert'").drop("partition_no", "table_id", "record_id")
-    numbered = packing.number_rows(new, ["_u", "SellID", "RowNo", "SellBranch"])
+    numbered = packing.number_rows(new, ["_u", "SellID", "RowNo", "SellBranch"], wide=wide)
     need = new.groupBy("year").agg(F.count("*").alias("need"))
     taken = packing.segments(store.partitions, need, capacity)
     return classified, packing.assign_slots(numbered, taken), taken
@@ -89,17 +90,17 @@ def run_backfill(history: DataFrame, today: DataFrame | None, year: int, store:
     fixed = packing.correct_fill(store.partitions, target.count_records(store.target), capacity)
     store = Store(store.mapping, fixed, store.years, store.target, store.watermark, store.jobs, store.log)
     rows = fact.latest_per_key(fact.year_rows(history, year), None if today is None else fact.year_rows(today, year))
-    done, summary = _apply(rows, store, capacity, keep or "", fields)
+    done, summary = _apply(rows, store, capacity, keep or "", fields, wide=True)
     done.watermark = keep
     return done, summary
 
 
-def _apply(rows: DataFrame, store: Store, capacity: int, since: str, fields: tuple[Field, ...]) -> tuple[Store, Summary]:
-    classified, placed, taken = plan(rows, store, capacity, fields)
-    classified = classified.persist()
+def _apply(rows: DataFrame, store: Store, capacity: int, since: str, fields: tuple[Field, ...], wide: bool = False) -> tuple[Store, Summary]:
+    # the rows are written once: counters, segments and slots all read the same version of them
+    rows = checkpointed(rows)
+    classified, placed, taken = plan(rows, store, capacity, fields, wide)
     counts = changes.counters(classified).first()
     if not counts.scanned:
-        classified.unpersist()
         return store, Summary(since, since)
     mark = classified.agg(eras.watermark(F.max("_u")).alias("w")).first().w
     need = classified.where("action = 'insert'").groupBy("year").agg(F.count("*").alias("need"))

@@ -93,7 +93,7 @@ def test_boundaries_need_slot_zero_for_first(spark):
 
 def test_numbering_by_ranges_equals_one_window(spark):
     df = spark.range(2000).select((F.col("id") % 2 + 2024).cast("int").alias("year"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 97).alias("a"), "id")
-    assert rows(packing.number_rows(df, ["a", "id"]), "year", "id", "rn") == rows(packing.number_rows(df, ["a", "id"], buckets=8), "year", "id", "rn")
+    assert rows(packing.number_rows(df, ["a", "id"]), "year", "id", "rn") == rows(packing.number_rows(df, ["a", "id"], wide=True), "year", "id", "rn")
 
 
 @pytest.mark.parametrize(("real", "want"), [(480, 480), (500, 500), (600, 500)])
