@@ -98,6 +98,24 @@ class DoubleArray:
         self.base, self.check, self.value = ((x + [f] * room)[: room + 1] for x, f in ((base, 0), (check, -1), (value, -1)))
 
 
+def _marks(words: list[str], few: int = 4) -> tuple[frozenset[str], frozenset[str]]:
+    """(marks, joining): no piece has a mark right after a character that is neither mark, marker nor joining.
+
+    Marks start as all characters that are no letters or digits; one that more than ``few`` other characters
+    precede is given up, until none is.  Of what is left the ASCII ones are returned.
+    """
+    pairs = {p[i - 1 : i + 1] for p in words for i in range(1, len(p))}
+    marks = {ch for p in words for ch in p if not ch.isalnum() and not ch.isspace() and ch != MARK}
+    while True:
+        before = {c: {x for x, y in pairs if y == c} - marks - {MARK} for c in marks}
+        wrong = {c for c, b in before.items() if len(b) > few}
+        if not wrong:
+            break
+        marks -= wrong
+    plain = {c for c in marks if c.isascii()}  # a short class keeps the splitting pattern fast
+    return frozenset(plain), frozenset(x for x, y in pairs if y in plain) - plain - {MARK}
+
+
 class Vocabulary:
     """What is broadcast: the trie, scores and ids of the pieces, and the bytes of every id."""
 
@@ -126,6 +144,7 @@ class Vocabulary:
         self.trie = DoubleArray(words)
         inside = {ch for p in words if len(p) > 1 for ch in p} | {MARK}
         self.joined = frozenset(inside)
+        self.marks, self.joining = _marks(words)
         self.unknown = min(self.scores, default=0.0) - UNKNOWN_PENALTY
         self.key = hashlib.sha256(model).hexdigest()
 
@@ -158,9 +177,16 @@ class Encoder:
         self.units = _Units(self)
         alone = "".join(regex.escape(ch) for ch in "\n\t\r\x0b\x0c" if ch not in vocabulary.joined)
         apart = rf"[{alone}]|" if alone else ""
-        self.split = regex.compile(rf"{apart}{MARK}*[^{MARK}{alone}]+|{MARK}+").findall
+        self.plain = regex.compile(rf"{apart}{MARK}*[^{MARK}{alone}]+|{MARK}+").findall
+        # a unit also ends before a mark: no piece joins one to what precedes it, but for a few characters
+        held = regex.escape("".join(sorted(vocabulary.marks)))
+        self.fine = regex.compile(rf"{apart}{MARK}*[{held}]*[^{MARK}{alone}{held}]+|{MARK}*[{held}]+|{MARK}+").findall if held else self.plain
         self.mark_bytes = [vocabulary.byte_ids[b] for b in MARK.encode()]
 
+    def split(self, marked: str) -> list[str]:
+        """Units of a text with markers; no piece spans two of them."""
+        return self.plain(marked) if any(c in marked for c in self.v.joining) else self.fine(marked)
+
     def viterbi(self, unit: str) -> list[int]:
         """The best segmentation; of equal scores the one found first, from shorter pieces on."""
         v = self.v
