@@ -316,3 +316,25 @@ def op1_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     from llm.session import table
 
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+#: Exact sets and links, and components by walking them.
+OP1_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS l FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(l) >= 5 THEN list_distinct(list_transform(range(1, len(l) - 3), lambda i: array_to_string(l[i:i + 4], ' ')))
+                      WHEN len(l) > 0 THEN [array_to_string(l, ' ')] ELSE [] END AS s FROM words
+), shingles AS (
+  SELECT doc_id, unnest(s) AS s FROM sets
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sets p ON p.doc_id = x JOIN sets q ON q.doc_id = y WHERE 100 * c >= 85 * (len(p.s) + len(q.s) - c)
+), reach(x, y) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y
+), least AS (
+  SELECT x, min(y) AS component_id FROM reach GROUP BY x
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least ON x = doc_id
+"""

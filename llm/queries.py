@@ -18,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_minhash_near_dedup": near_dedup.OP1_SQL,
     "op2_line_dedup": line_dedup.OP2_SQL,
     "op4_url_filters": url_filter.OP4_SQL,
 }
