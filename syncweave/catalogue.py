@@ -551,3 +551,36 @@ def schema_differences(spark, d):
 @_query()
 def preflight(spark, d):
     return quality.preflight(fr.fact(spark, d), None)
+
+
+# ---- target, migrations and schema ----------------------------------------------------------------
+
+
+@_query("tgt lost alive", """SELECT table_id, count(*)::BIGINT AS n_records FROM (SELECT table_id, record_id FROM tgt UNION SELECT table_id, record_id FROM lost WHERE source_key IN (SELECT source_key FROM alive)) GROUP BY table_id""")
+def create_records(spark, d):
+    back = reconcile.recreate(_missing(spark, d), _alive(spark, d)).select("year", "table_id", "record_id")
+    return targets.create_records(fr.target(spark, d), back).groupBy("table_id").agg(F.count("*").alias("n_records"))
+
+
+@_query("tgt mapping", """SELECT t.table_id, t.record_id, CASE WHEN m.record_id IS NULL THEN 'old' ELSE m.checksum END AS checksum FROM tgt t LEFT JOIN (SELECT * FROM mapping WHERE partition_no = 6) m ON m.table_id = t.table_id AND m.record_id = t.record_id""")
+def update_records(spark, d):
+    new = fr.mapping(spark, d).where("partition_no = 6").select("table_id", "record_id", "checksum")
+    return targets.update_records(fr.target(spark, d).withColumn("checksum", F.lit("old")), new).select("table_id", "record_id", "checksum")
+
+
+@_query("", "SELECT printf('%03d_step.sql', n) AS filename FROM range(1, 41) t(n) WHERE n % 3 <> 0")
+def pending_migrations(spark, d):
+    from syncweave.operators import migrations
+
+    files = spark.range(1, 41).select(F.format_string("%03d_step.sql", F.col("id")).alias("filename"), "id")
+    return migrations.pending(files.select("filename").union(spark.sql("SELECT 'notes.md'")), files.where("id % 3 = 0"))
+
+
+@_query("", "SELECT unnest(['SellBranch', 'SellID', 'RowNo', 'CrTime', 'UTime', 'part', 'Product', 'NUMBER', 'SRP', 'Comment']) AS field")
+def list_fields(spark, d):
+    return spark.createDataFrame([(f,) for f in fr.fact(spark, d).schema.fieldNames()], "field string")
+
+
+@_query("latest mapping years", """SELECT 'CE' AS era, count(*)::BIGINT AS n_rows FROM mapping WHERE cr_time >= '1900' AND cr_time < '2100'""")
+def mapping_eras(spark, d):
+    return fr.mapping(spark, d).groupBy(eras.classify_era(F.col("cr_time")).alias("era")).agg(F.count("*").alias("n_rows"))
