@@ -157,21 +157,37 @@ class Counter:
         return out
 
 
-def counter(key: str, raw: bytes, frequent: dict[str, int]) -> Counter:
+class PieceCounter:
+    """Counts texts by a SentencePiece model; its pieces do not add up by words, so texts go to the library whole."""
+
+    def __init__(self, raw: bytes) -> None:
+        import sentencepiece
+
+        self.sp = sentencepiece.SentencePieceProcessor(model_proto=raw)
+
+    def counts(self, texts: list[str | None]) -> list[int]:
+        return [len(ids) for ids in self.sp.encode([t or "" for t in texts], num_threads=1)]
+
+
+def is_json(raw: bytes) -> bool:
+    return raw[:64].lstrip()[:1] == b"{"
+
+
+def counter(key: str, raw: bytes, frequent: dict[str, int]) -> Counter | PieceCounter:
     """The worker's counter; it outlives the task."""
     if _STATE.get("key") != key:
-        _STATE.update(key=key, counter=Counter(raw, frequent))
+        _STATE.update(key=key, counter=Counter(raw, frequent) if is_json(raw) else PieceCounter(raw))
     return _STATE["counter"]
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT) -> DataFrame:
-    """docs(doc_id, text) -> (doc_id, n_bytes, n_tokens, over_limit)."""
+    """docs(doc_id, text) -> (doc_id, n_bytes, n_tokens, over_limit); a .json or a SentencePiece .model file."""
     import hashlib
 
     with open(tokenizer_path, "rb") as f:
         raw = f.read()
     key = hashlib.sha256(raw).hexdigest()
-    shared = docs.sparkSession.sparkContext.broadcast((key, raw, frequent_lengths(raw)))
+    shared = docs.sparkSession.sparkContext.broadcast((key, raw, frequent_lengths(raw) if is_json(raw) else {}))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os

@@ -50,3 +50,16 @@ def test_clashing_columns_and_empty_table(spark):
     got = sorted(((r.doc_id, r.n_bytes, r.n_tokens) for r in tc.count_tokens(df, PATH).collect()), key=str)
     assert got == sorted([(1, 5, 1), (1, 5, 1), (None, 0, 0)], key=str)
     assert tc.count_tokens(df.limit(0), PATH).count() == 0
+
+
+def test_other_tokenizer_files(spark):
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    texts = ["hello World 123", "", None, "  a  b\n", "Ünïcode ▁ <|startoftext|>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    words, pieces = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    tok, sp = Tokenizer.from_file(words), sentencepiece.SentencePieceProcessor(model_file=pieces)
+    count = lambda path: [r.n_tokens for r in tc.count_tokens(df, path).orderBy("doc_id").collect()]
+    assert count(words) == [len(tok.encode(t or "", add_special_tokens=False).ids) for t in texts]
+    assert count(pieces) == [len(sp.encode(t or "")) for t in texts]
