@@ -52,7 +52,7 @@ _CTES = {
     "slots": """SELECT n.year, n.source_key, s.partition_no, s.table_id, (s.start_index + n.rn - 1 - s."offset")::BIGINT AS slot
         FROM numbered n JOIN segs s ON s.year = n.year AND n.rn - 1 >= s."offset" AND n.rn - 1 < s."offset" + s.count""",
     "checked": """SELECT p.year, p.partition_no, p.table_id, p.fill_count, coalesce(m.n, 0)::BIGINT AS n_mapped, coalesce(t.n, 0)::BIGINT AS n_target,
-        CASE WHEN coalesce(t.n, 0) <> coalesce(m.n, 0) THEN 'lark_drift' WHEN p.fill_count <> coalesce(m.n, 0) THEN 'fill_count_drift' ELSE 'ok' END AS status
+        CASE WHEN coalesce(t.n, 0) <> coalesce(m.n, 0) THEN 'target_drift' WHEN p.fill_count <> coalesce(m.n, 0) THEN 'fill_count_drift' ELSE 'ok' END AS status
         FROM parts p LEFT JOIN (SELECT year, partition_no, count(*) AS n FROM mapping GROUP BY ALL) m ON m.year = p.year AND m.partition_no = p.partition_no
         LEFT JOIN (SELECT table_id, count(*) AS n FROM tgt GROUP BY ALL) t ON t.table_id = p.table_id""",
     "lost": "SELECT m.* FROM mapping m WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.table_id = m.table_id AND t.record_id = m.record_id)",

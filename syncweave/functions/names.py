@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: How the target's tables are named, how many a year has, how many rows one takes.
 PREFIX = "itec_"
 PER_YEAR = 250
 ROWS = 20_000

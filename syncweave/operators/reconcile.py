@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def drift_status(target: Column, mapped: Column, fill: Column) -> Column:
-    return F.when(target != mapped, "lark_drift").when(fill != mapped, "fill_count_drift").otherwise("ok")
+def drift_status(target: Column, mapped: Column, fill: Column, label: str = "target_drift") -> Column:
+    """``label`` where target and mapping differ, before any difference of the fill pointer."""
+    return F.when(target != mapped, label).when(fill != mapped, "fill_count_drift").otherwise("ok")
 
 
 def check_partitions(partitions: DataFrame, mapping: DataFrame, target: DataFrame, after: int = 0) -> DataFrame:

@@ -111,7 +111,7 @@ def store(spark, mapped, there, fill):
 
 def test_drift_status(spark):
     assert reconcile.check_partitions(*store(spark, range(8), range(8), 9)).first().status == "fill_count_drift"
-    assert reconcile.check_partitions(*store(spark, range(8), range(9), 9)).first().status == "lark_drift"
+    assert reconcile.check_partitions(*store(spark, range(8), range(9), 9)).first().status == "target_drift"
     assert reconcile.check_partitions(*store(spark, range(8), range(8), 8)).first().status == "ok"
 
 
