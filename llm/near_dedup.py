@@ -277,12 +277,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = SKETCH, m: int
     ids = linked.join(classes.select("node", "doc_id"), "node")
     names = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     labels = ids.join(names, "root").select("node", "component_id")
-    alone = classes.select("node", F.col("doc_id").alias("class_id"))
+    named = classes.select("node", F.col("doc_id").alias("class_id")).join(labels, "node", "left").select("node", F.coalesce("component_id", "class_id").alias("component_id"))
+    # one join of the rows, so that a class of very many copies can be split between tasks
     found = (
         rows.select("doc_id", "n_shingles", "node")
-        .join(alone, "node", "left")
-        .join(labels, "node", "left")
-        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "class_id", "doc_id")).alias("component_id"))
+        .join(named, "node", "left")
+        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
     )
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
