@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from llm.session import table
 
 MARK = "▁"
-CACHE = 400_000
+CACHE = 200_000
 LONGEST_CACHED = 40
 UNKNOWN_PENALTY = 10.0
 _STATE: dict[str, object] = {}
