@@ -88,8 +88,8 @@ def _sample(labels: DataFrame, per_class: int) -> DataFrame:
 
 def _explode_features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for at in range(0, b.num_rows, 500):
-            part = b.slice(at, 500)
+        for at in range(0, b.num_rows, 100):
+            part = b.slice(at, 100)
             found = [sorted(features(t)) for t in part.column("text").to_pylist()]
             toxic = np.repeat(part.column("toxic").to_numpy(zero_copy_only=False), [len(f) for f in found])
             yield pa.RecordBatch.from_arrays([pa.array([x for f in found for x in f], pa.string()), pa.array(toxic.astype(np.int32))], names=["f", "toxic"])
@@ -97,8 +97,10 @@ def _explode_features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 def _smallest_shingles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        sets = list(shingle_sets(b.column("text")))
-        least = [[int((s[0] if k == 0 else mix(s ^ np.uint64(k)).min()).view(np.int64)) if len(s) else 0 for s in sets] for k in range(3)]
+        least: list[list[int]] = [[], [], []]
+        for s in shingle_sets(b.column("text")):
+            for k, out in enumerate(least):
+                out.append(int((s[0] if k == 0 else mix(s ^ np.uint64(k)).min()).view(np.int64)) if len(s) else 0)
         yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(x, pa.int64()) for x in least]], names=[*b.schema.names, "m0", "m1", "m2"])
 
 
@@ -205,9 +207,11 @@ def fit(docs: DataFrame, labelled: DataFrame, per_class: int = PER_CLASS, vocabu
     def index(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, bad = shared.value
         for b in batches:
-            found = [features(t) for t in b.column("text").to_pylist()]
-            ids = [sorted(known[f] for f in fs & known.keys()) for fs in found]
-            hits = [len(fs & bad) for fs in found]
+            ids, hits = [], []
+            for t in b.column("text"):  # one text's features at a time
+                own = features(t.as_py())
+                ids.append(sorted(known[f] for f in own & known.keys()))
+                hits.append(len(own & bad))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.array(ids, pa.list_(pa.int32())), pa.array(hits, pa.int32())], names=["doc_id", "toxic", "ids", "hits"])
 
     rows = texts.mapInArrow(index, "doc_id long, toxic int, ids array<int>, hits int").orderBy("doc_id").collect()  # at most 2 * per_class rows
