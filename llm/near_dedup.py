@@ -53,15 +53,18 @@ def sketch_rows(k: int, size: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = list(shingle_sets(b.column("text"), size))
-            low = [s[:k].view(np.int64) for s in sets]
+            low, counts, nodes = [], [], []
+            for s in shingle_sets(b.column("text"), size):  # one full set at a time
+                low.append(s[:k].view(np.int64).copy())
+                counts.append(len(s))
+                nodes.append(_node(s) if len(s) else None)
             ends = np.concatenate([[0], np.cumsum([len(s) for s in low])]).astype(np.int32)
             flat = np.concatenate(low) if low else np.zeros(0, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column("doc_id").cast(pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array(counts, pa.int64()),
+                    pa.array(nodes, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                 ],
                 names=["doc_id", "n_shingles", "node", "sketch"],
