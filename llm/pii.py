@@ -7,7 +7,7 @@ size is bounded by kinds and votes); expectation maximisation estimates each lab
 those counts, and a logistic classifier trained on the posteriors scores every span as a SQL expression.
 
 Spans of the four base kinds that pass their checks always stay; the method adds ``secret`` and ``ssn``
-spans that score at least one half.  Offsets are code points, the end is exclusive.
+spans that score at least one half; a secret may overlap base spans, and both are given.  Offsets are code points, the end is exclusive.
 
 Defined results: a null or empty text has no spans; repeated rows are judged alike; a null doc_id is kept; an
 empty table gives an empty table; other columns play no part.  The patterns use possessive
@@ -31,7 +31,7 @@ PATTERNS = {
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9]){15,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "secret": r"(?i)(?<![a-z0-9])(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key)[\x20]{0,3}[:=][\x20]{0,3}[\"']?[^\s\"',;]{6,128}+[\"']?",
+    "secret": r"(?i)(?<![a-z0-9])(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key)[\x20]{0,3}[:=][\x20]{0,3}[\"']?[^\s\"',;]{6,}+[\"']?",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 #: A text without this cannot hold the kind; it spares the pattern.
@@ -189,7 +189,7 @@ def find_pii(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
         "doc_id",
         F.expr(f"filter(spans, x -> x.kind < {BASE} and x.ok)").alias("base"),
         F.expr(f"filter(spans, x -> x.kind >= {BASE} and x.ok and {z} >= {least!r}D)").alias("more"),
-    ).withColumn("more", F.expr("filter(more, x -> not exists(base, b -> b.s < x.e and x.s < b.e))"))
+    ).withColumn("more", F.expr(f"filter(more, x -> x.kind = {KINDS.index('secret')} or not exists(base, b -> b.s < x.e and x.s < b.e))"))
     names = "array(" + ", ".join(f"'{k}'" for k in KINDS) + ")"
     joined = lambda c: F.expr(f"array_join(transform({c}, x -> concat(element_at({names}, x.kind + 1), ':', x.s, ':', x.e)), ',')")
     n = lambda c, i: F.expr(f"size(filter({c}, x -> x.kind = {i}))").cast("long")

@@ -101,3 +101,13 @@ def test_empty_clashing_and_native(spark):
 def test_no_candidates_at_all(spark, threshold):
     out = pii.find_pii(spark.createDataFrame([(1, "plain words")], "doc_id long, text string"), threshold).first()
     assert out.spans == "" and out.base_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_long_secrets_and_secrets_about_base_spans_are_whole(spark):
+    long = "".join("aB3xZ9kQ"[i % 8] for i in range(900))
+    values = [long, "me@corp.com!Xy9aB", "Zq7+4915512345678kLm", "Ab9-10.20.30.40-xY7", "aB1" * 20_000]
+    texts = {i: f"my password={v} ends" for i, v in enumerate(values * 6)}
+    df = pii.find_pii(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    check(df, texts)
+    for r in df.collect():
+        assert f"secret:3:{len(texts[r.doc_id]) - 5}" in r.spans.split(",") and r.n_secret == 1
