@@ -343,7 +343,8 @@ def clips(frames: list[np.ndarray], fps: float) -> list[dict]:
     starts, jumps, past = [0], [0.0], []
     for i in range(1, len(frames)):
         d = 0.5 * float(np.abs(hists[i] - hists[i - 1]).sum())
-        if past and d > max(CUT_FLOOR, float(np.mean(past)) + CUT_SIGMAS * float(np.std(past))):
+        # without a history, after a start, the floor alone decides
+        if d > (max(CUT_FLOOR, float(np.mean(past)) + CUT_SIGMAS * float(np.std(past))) if past else CUT_FLOOR):
             starts.append(i)
             jumps.append(d)
             past = []

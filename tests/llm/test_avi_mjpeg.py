@@ -148,3 +148,12 @@ def test_nulls_long_texts_repeats_and_clashes(spark):
     clip = am.clip_rows(am.store_texts(df))
     assert clip.where("doc_id = 3").agg({"n_frames": "sum"}).first()[0] == 2 * -(-len(am.padded(long.encode())) // 4096)
     assert am.clip_rows(spark.createDataFrame([(1, None)], "doc_id long, media binary")).count() == 0
+
+
+def test_cuts_right_after_a_start_are_found():
+    a, b, c = (np.full((8, 8), v, dtype=np.uint8) for v in (10, 100, 200))
+    firsts = lambda frames: [s["first_frame"] for s in am.clips(frames, 25.0)]
+    assert firsts([a, b]) == [0, 1]
+    assert firsts([a, b, b, b, c, c]) == [0, 1, 4]
+    assert firsts([a, a, a, b, c, c]) == [0, 3, 4]
+    assert firsts([a, a, a]) == [0]
