@@ -211,10 +211,9 @@ def latest_per_key(spark, d):
     return sources.latest_per_key(fr.fact(spark, d), tie=("part",)).select(*KEY, "UTime", "part", "Product")
 
 
-@_query("source", """SELECT source_key, part FROM source WHERE "SellID" % 10 = 3""")
+@_query("source mapping", """SELECT source_key, part FROM source WHERE source_key IN (SELECT source_key FROM mapping)""")
 def fetch_by_keys(spark, d):
-    s = fr.source(spark, d)
-    return sources.by_keys(s.drop("source_key"), s.where("SellID % 10 = 3")).select("source_key", "part")
+    return sources.by_keys(fr.source(spark, d).drop("source_key"), fr.mapping(spark, d)).select("source_key", "part")
 
 
 @_query("parts", "SELECT partition_no, table_id, fill_count FROM parts WHERE year = 1997")

@@ -11,18 +11,19 @@ from pyspark.sql import functions as F
 
 OFFSET_YEARS = 543
 ZONE_HOURS = 7
-_STRICT = r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})(?:\.(\d+))?$"
+_STRICT = r"^\d{4}-\d{2}-\d{2} ([01]\d|2[0-3]):[0-5]\d:[0-5]\d(\.\d+)?$"
 
 
 def be_to_epoch_ms(be: Column, offset: int = OFFSET_YEARS, zone_hours: int = ZONE_HOURS) -> Column:
-    """Milliseconds since the epoch of a wall clock ``yyyy-MM-dd HH:mm:ss[.f+]``; the fraction is cut to three digits."""
-    part = lambda i: F.regexp_extract(be, _STRICT, i)
-    ok = be.rlike(_STRICT)
-    ce = F.concat_ws("-", F.lpad((part(1).try_cast("int") - offset).cast("string"), 4, "0"), part(2), part(3))
-    wall = F.try_to_timestamp(F.concat_ws(" ", ce, F.concat_ws(":", part(4), part(5), part(6))), F.lit("yyyy-MM-dd HH:mm:ss"))
-    seconds = F.unix_timestamp(wall) - zone_hours * 3600
-    millis = F.rpad(F.substring(part(7), 1, 3), 3, "0").try_cast("long")
-    return F.when(ok, seconds * 1000 + F.coalesce(millis, F.lit(0)))
+    """Milliseconds since the epoch of a wall clock ``yyyy-MM-dd HH:mm:ss[.f+]``; the fraction is cut to three digits.
+
+    Days and seconds are counted as integers, so the session's zone has no part in it.
+    """
+    number = lambda at, n: F.substring(be, at, n).try_cast("int")
+    ce = F.concat(F.lpad((number(1, 4) - offset).cast("string"), 4, "0"), F.substring(be, 5, 6))
+    seconds = F.unix_date(ce.try_cast("date")).cast("long") * 86_400 + number(12, 2) * 3600 + number(15, 2) * 60 + number(18, 2) - zone_hours * 3600
+    millis = F.coalesce(F.rpad(F.substring(be, 21, 3), 3, "0").try_cast("int"), F.lit(0))
+    return F.when(be.rlike(_STRICT), seconds * 1000 + millis)
 
 
 def epoch_ms_to_utc(ms: Column) -> Column:

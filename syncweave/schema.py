@@ -25,6 +25,7 @@ FIELDS = (
 )
 #: Decimals shown for each numeric source type.
 PRECISION = {"int": 0, "money": 2, "numeric": 4, "float": 2}
+_INTEGERS = ("tinyint", "smallint", "int", "bigint")
 
 
 @dataclass(frozen=True)
@@ -51,13 +52,14 @@ class Field:
             meta |= {"style": "yyyy-MM-dd HH:mm"}
         return T.StructField(self.name, self.spark_type, True, meta)
 
-    def value(self, raw: Column) -> Column:
-        """The payload value of a raw source column; what can't be read is null."""
+    def value(self, raw: Column, kind: str = "string") -> Column:
+        """The payload value of a raw source column of a type; what can't be read is null."""
         if self.logical == "datetime":
             return eras.be_to_epoch_ms(raw.cast("string"))
-        kind = self.spark_type.simpleString()
-        # integers may arrive as text with decimals ('3.00')
-        return raw.try_cast("double").try_cast(kind) if kind == "bigint" else raw.try_cast(kind)
+        if self.source != "int":
+            return raw.try_cast(self.spark_type.simpleString())
+        # integers may arrive as text with decimals ('3.00'); a double would round those above 2**53
+        return raw.try_cast("bigint") if kind in _INTEGERS else raw.try_cast("decimal(38,6)").try_cast("bigint")
 
 
 PAYLOAD = tuple(Field(n, s) for n, s in FIELDS)
@@ -69,8 +71,8 @@ def payload_schema(fields: tuple[Field, ...] = PAYLOAD) -> T.StructType:
 
 def transform(df: DataFrame, *keep: str, fields: tuple[Field, ...] = PAYLOAD) -> DataFrame:
     """``keep`` columns and a struct ``payload`` of all declared fields: absent columns are null, others go."""
-    have = set(df.columns)
-    values = [(f.value(F.col(f"`{f.name}`")) if f.name in have else F.lit(None).cast(f.spark_type)).alias(f.name) for f in fields]
+    have = dict(df.dtypes)
+    values = [(f.value(F.col(f"`{f.name}`"), have[f.name]) if f.name in have else F.lit(None).cast(f.spark_type)).alias(f.name) for f in fields]
     return df.select(*[F.col(f"`{c}`") for c in keep], F.struct(*values).alias("payload"))
 
 

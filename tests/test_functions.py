@@ -27,6 +27,26 @@ def test_epoch_ms_vectors(spark):
     assert one(spark, None, eras.be_to_epoch_ms) is None
 
 
+def test_epoch_ms_is_the_same_in_every_session_zone(spark):
+    want = {"2569-07-03 09:00:00": ms("2026-07-03T02:00:00"), "2569-05-14 14:12:43.573": ms("2026-05-14T07:12:43.573"), "2569-03-08 02:30:00": ms("2026-03-07T19:30:00"), "2569-07-03 24:00:00": None, "2569-13-01 00:00:00": None}
+    rows = spark.createDataFrame([(t,) for t in want], "x string")
+    try:
+        for zone in ("UTC", "Asia/Bangkok", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = rows.select("x", eras.be_to_epoch_ms(F.col("x")).alias("y"), eras.epoch_ms_to_utc(eras.be_to_epoch_ms(F.col("x"))).alias("u")).collect()
+            assert {r.x: r.y for r in got} == want, zone
+            assert got[0].u == "2026-07-03 02:00:00", zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_integers_beyond_the_doubles(spark):
+    big = 2**53 + 1
+    rows = spark.createDataFrame([(big, str(big), "3.00", "x")], "SellID long, SellBranch string, NUMBER string, STATUS string")
+    p = transform(rows).select("payload.*").first()
+    assert (p.SellID, p.SellBranch, p.NUMBER, p.STATUS) == (big, big, 3, None)
+
+
 def test_leap_days_follow_the_common_era(spark):
     assert one(spark, "2567-02-29 07:00:00", eras.be_to_epoch_ms) == ms("2024-02-29T00:00:00")
     assert one(spark, "2568-02-29 07:00:00", eras.be_to_epoch_ms) is None
