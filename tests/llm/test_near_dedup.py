@@ -85,6 +85,10 @@ def test_chunked_blocks_lose_no_link(spark, monkeypatch):
         rows.append((d, " ".join(copy)))
     passage = " ".join(f"p{i}" for i in range(30))
     rows += [(100 + d, passage + " " + " ".join(f"q{d}_{i}" for i in range(20))) for d in range(40)]
+    # pairs around a passage that is most of them: no component holds most of their list
+    for d in range(30):
+        own = [f"r{d}_{i}" for i in range(8)]
+        rows += [(200 + 2 * d + k, " ".join([f"s{i}" for i in range(30)] + own[: 8 - k])) for k in (0, 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = nd.near_duplicates(df, 85, common=16)
     assert found(got) == brute(rows, 85)
@@ -99,7 +103,7 @@ def test_null_ids_repeated_rows_clashing_columns_and_empty_tables(spark):
     assert got == sorted([(None, None, True), (2, 1, False), (2, 1, False), (1, 1, True), (3, 3, True), (None, None, True)], key=str)
     left = nd.drop_near_duplicates(df)
     assert left.columns == df.columns
-    assert sorted((r.doc_id for r in left.collect()), key=str) == [1, 3, None, None]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted([(1, a), (3, rows[4][1]), (None, None)], key=str)
     assert nd.near_duplicates(df.limit(0)).count() == 0 and nd.drop_near_duplicates(df.limit(0)).count() == 0
 
 
@@ -108,6 +112,27 @@ def test_rows_that_share_an_id_stay_apart(spark):
     assert sorted((r.doc_id, r.text[0]) for r in nd.drop_near_duplicates(df).collect()) == [(1, "a"), (1, "h"), (5, "z")]
 
 
+def test_rows_without_an_id_are_copies_too(spark):
+    a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    df = spark.createDataFrame([(None, a), (None, a), (None, b), (7, b), (7, a)], "doc_id long, text string")
+    assert sorted(((r.doc_id, r.text) for r in nd.drop_near_duplicates(df).collect()), key=str) == sorted([(7, a), (7, b)], key=str)
+
+
+def test_columns_of_any_name_are_kept(spark):
+    names = ["doc_id", "text", "_id", "_rows", "_stays", "nul", "id", "th", "stays", "n", "root", "NODE"]
+    rows = [(d, "one two three four five six seven", *[f"{c}{d}" for c in names[2:]]) for d in (4, 3)]
+    left = nd.drop_near_duplicates(spark.createDataFrame(rows, names))
+    assert left.columns == names and [tuple(r) for r in left.collect()] == [rows[1]]
+
+
+def test_a_group_larger_than_blocks(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK_ROWS", 100)
+    base = [f"a{i}" for i in range(60)]
+    rows = [(d, " ".join([*base[: d % 60], f"x{d}", *base[d % 60 + 1 :]])) for d in range(700)]
+    got = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 70, common=16).collect()
+    assert {r.component_id for r in got} == {r[2] for r in brute(rows[:120], 70)} == {0}
+
+
 def test_very_long_texts(monkeypatch):
     import llm.textkernel as tk
 
