@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from llm import decontamination, line_dedup, near_dedup, sentencepiece_unigram, toxicity
-from llm.session import checkpoint_folder, table
+from llm.session import discard, materialise, table
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,16 +50,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each written as Parquet in the shared folder and read again."""
-    folder = checkpoint_folder(spark)
+    """All stages, each but the last written as Parquet in the shared folder and read again; a stage's table goes once the next is written."""
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            path = f"{folder}/pipeline-{k}-{name}"
-            out.write.mode("overwrite").parquet(path)
-            docs = spark.read.parquet(path)
-        else:
-            docs = out
-    return docs
-
+    for _, stage in STAGES[:-1]:
+        out = materialise(stage(spark, docs, sf_dir))
+        discard(docs)
+        docs = out
+    return STAGES[-1][1](spark, docs, sf_dir)
