@@ -2,12 +2,15 @@
 
 1. A bounded sample of labelled rows (``per_class`` of each label, the first by a hash of doc_id, thinned of copies) proposes
    features: words and word beginnings whose connection with the label is beyond chance.
-2. Suspicious features are dealt out to lexicon voters (words) and pattern voters (beginnings); a public
-   list of insults, the number of hits, and the annotator are voters as well.
-3. A generative label model (expectation maximisation) estimates each voter's hit rate in either class.
-   It also estimates the correlations that remain between voters within a class, and a voter counts
-   the less the more it repeats others.
-4. A linear classifier is trained on the posteriors; its weights are a table of at most ``vocabulary``
+2. Voters: suspicious words are dealt out to ``WORD_VOTERS`` lexicons and suspicious beginnings to ``PATTERN_VOTERS``
+   patterns for each number of repeats, so that words that begin alike stand in different voters; a public list of
+   insults and the number of hits vote as well.  No voter sees a label.
+3. A generative label model (expectation maximisation from a start by the number of votes) estimates each voter's hit rate
+   in either class and the correlations that remain between voters within a class; a voter counts the less the more
+   it repeats others.
+4. Labels are used to select how strict a voter's words have to be (of ``STRICTNESS``) and to calibrate the model's
+   log odds (a slope and an offset), not as a target.
+5. A linear classifier is trained on the posteriors; its weights are a table of at most ``vocabulary``
    features, which is broadcast to score every whole text.
 
 Only rows that the caller passes as labelled are learned from, and a score reads nothing but the text.
@@ -15,7 +18,8 @@ Only rows that the caller passes as labelled are learned from, and a score reads
 Defined results: a null or empty text has the score of no features; repeated rows score alike; rows
 without a doc_id are scored and are not held out; labels that are null or neither 0 nor 1 are not used,
 and of several labels of a doc_id the largest is; without labels of both classes only the public list
-decides (0.9 or 0.05); an empty table gives an empty table; other columns play no part.
+decides (0.9 or 0.05); an empty table gives an empty table; other columns play no part, but that score_texts
+replaces columns called score and predicted.
 """
 
 from __future__ import annotations
@@ -30,13 +34,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.session import materialise, table
+from llm.session import materialise, table, unused
 from llm.textkernel import mix, shingle_sets
 
 #: Bounds of the fit: labelled rows of each class, features kept.
 PER_CLASS = 6000
 VOCABULARY = 6000
-VOTERS = 8
+WORD_VOTERS = 16
+PATTERN_VOTERS = 4
+#: Least log odds of the words of a voter, of which the labels select one.
+STRICTNESS = (2.5, 3.5, 4.5)
 THRESHOLD = 0.7
 BEGINNINGS = (4, 5, 6)
 #: A public list of insults.
@@ -127,20 +134,40 @@ class Model:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
 
-def label_model(votes: np.ndarray, rounds: int = 30, smooth: float = 1.0, free: float = 0.25) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(posterior of class 1, hit rates by class and voter, voter weights) from a 0/1 matrix of rows by voters.
+def ballots(names: list[str], odds: list[float], cols: list[np.ndarray], listed: np.ndarray, strict: float) -> np.ndarray:
+    """A 0/1 matrix of rows by voters from each row's features; voters hold the features of at least the odds ``strict``."""
+    bad = sorted((i for i, o in enumerate(odds) if o > strict and names[i] != LISTED), key=lambda i: (names[i].rstrip("*")[:4], i))
+    voter = np.full(len(names), -1)
+    first = 0
+    for stars, n in ((0, WORD_VOTERS), (1, PATTERN_VOTERS), (2, PATTERN_VOTERS), (3, PATTERN_VOTERS)):
+        own = [i for i in bad if len(names[i]) - len(names[i].rstrip("*")) == stars]
+        voter[own] = first + np.arange(len(own)) % n
+        first += n
+    votes = np.zeros((len(cols), first + 2), dtype=np.int8)
+    for k, c in enumerate(cols):
+        v = voter[c]
+        v = v[v >= 0]
+        votes[k, v] = 1
+        votes[k, first + 1] = len(v) >= 3
+    votes[:, first] = listed > 0
+    return votes
+
 
-    The last voter is the annotator, whose vote starts the posterior and who repeats nobody.  Another voter's
-    weight is one over the sum of its correlations with all but the annotator (itself one) within the
-    classes; correlations under ``free`` are taken for traces of rows that stand in the wrong class.
+def label_model(votes: np.ndarray, share: float | None = None, rounds: int = 30, smooth: float = 1.0, free: float = 0.25) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(log odds of class 1, hit rates by class and voter, voter weights) from a 0/1 matrix of rows by voters.
+
+    share: of class 1, where it is known.  A voter's weight is one over the sum of its correlations with all voters
+    (itself one) within the classes; correlations under ``free`` are taken for traces of rows that stand in the wrong class.
     """
     votes = votes.astype(float)
-    post = 0.02 + 0.96 * votes[:, -1]
-    rates, weight = np.full((2, votes.shape[1]), 0.5), np.ones(votes.shape[1])
+    hits = votes.sum(axis=1)
+    post = np.where(hits >= 3, 0.9, np.where(hits >= 1, 0.3, 0.02))
+    rates, weight, z = np.full((2, votes.shape[1]), 0.5), np.ones(votes.shape[1]), np.zeros(len(votes))
     for _ in range(rounds):
         mass = np.array([(1 - post).sum(), post.sum()])
-        prior = (mass + smooth) / (mass.sum() + 2 * smooth)
-        rates = np.stack([((w[:, None] * votes).sum(axis=0) + smooth) / (w.sum() + 2 * smooth) for w in (1 - post, post)])
+        prior = (mass + smooth) / (mass.sum() + 2 * smooth) if share is None else np.array([1 - share, share])
+        usual = smooth * votes.mean(axis=0).clip(1e-4)
+        rates = np.stack([((w[:, None] * votes).sum(axis=0) + usual) / (w.sum() + smooth) for w in (1 - post, post)]).clip(1e-5, 1 - 1e-5)
         left = np.zeros((votes.shape[1], votes.shape[1]))
         for y, w in enumerate((1 - post, post)):
             centred = votes - rates[y]
@@ -148,13 +175,24 @@ def label_model(votes: np.ndarray, rounds: int = 30, smooth: float = 1.0, free:
             spread = np.sqrt(np.maximum(np.diag(cov), 1e-9))
             left += prior[y] * np.abs(cov / np.outer(spread, spread))
         left = np.maximum(left - free, 0) / (1 - free)
-        left[-1] = left[:, -1] = 0
         np.fill_diagonal(left, 1.0)
         weight = 1 / left.sum(axis=1)
         gain = votes * np.log(rates[1] / rates[0]) + (1 - votes) * np.log((1 - rates[1]) / (1 - rates[0]))
-        z = np.log(prior[1] / prior[0]) + (gain * weight).sum(axis=1)
-        post = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-    return post, rates, weight
+        z = np.clip(np.log(prior[1] / prior[0]) + (gain * weight).sum(axis=1), -30, 30)
+        post = 1 / (1 + np.exp(-z))
+    return z, rates, weight
+
+
+def calibrated(z: np.ndarray, gold: np.ndarray, rounds: int = 50, ridge: float = 1e-2) -> tuple[np.ndarray, float]:
+    """(posteriors, mean log loss): a slope and an offset of the log odds that suit the labels best."""
+    x = np.stack([(z - z.mean()) / (z.std() or 1.0), np.ones(len(z))], axis=1)
+    a = np.array([1.0, 0.0])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ a, -30, 30)))
+        h = (p * (1 - p) + 1e-6)[:, None] * x
+        a -= np.linalg.solve(x.T @ h + ridge * np.eye(2), x.T @ (p - gold) + ridge * a)
+    p = 1 / (1 + np.exp(-np.clip(x @ a, -30, 30)))
+    return p, float(-np.log(np.where(gold == 1, p, 1 - p).clip(1e-9)).mean())
 
 
 def linear_classifier(rows: list[np.ndarray], target: np.ndarray, n: int, ridge: float = 2e-4, steps: int = 800, rate: float = 0.05) -> tuple[np.ndarray, float]:
@@ -217,38 +255,36 @@ def fit(docs: DataFrame, labelled: DataFrame, per_class: int = PER_CLASS, vocabu
     rows = texts.mapInArrow(index, "doc_id long, toxic int, ids array<int>, hits int").orderBy("doc_id").collect()  # at most 2 * per_class rows
     gold = np.array([r.toxic for r in rows])
     cols = [np.array(r.ids, dtype=np.int64) for r in rows]
-    suspicious = [(i, r) for i, r in enumerate(top) if r.odds > 1.5 and r.n1 >= 3]
-    voter = np.full(len(names), -1)
-    for kind in (0, 1):  # words, then beginnings
-        own = [i for i, r in suspicious if r.f.endswith("*") == bool(kind)]
-        voter[own] = kind * VOTERS + np.arange(len(own)) % VOTERS
-    votes = np.zeros((len(rows), 2 * VOTERS + 3), dtype=np.int8)
-    for k, c in enumerate(cols):
-        v = voter[c]
-        v = v[v >= 0]
-        votes[k, v] = 1
-        votes[k, 2 * VOTERS] = rows[k].hits > 0
-        votes[k, 2 * VOTERS + 1] = len(v) >= 2
-    votes[:, -1] = gold
-    post, _, _ = label_model(votes)
+    odds = [r.odds if r.n1 >= 3 else 0.0 for r in top]
+    listed = np.array([r.hits for r in rows])
+    post, _ = min((calibrated(label_model(ballots(names, odds, cols, listed, strict), rate)[0], gold) for strict in STRICTNESS), key=lambda got: got[1])
     w, bias = linear_classifier(cols, post, len(names))
     return Model({f: float(x) for f, x in zip(names, w, strict=True) if abs(x) > 1e-3}, bias)
 
 
-def score_texts(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """docs with ``score`` and ``predicted`` added (docs needs ``text``; other columns stay)."""
+def _with_score(docs: DataFrame, model: Model, name: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    own = [f for f in docs.schema.fields if f.name not in ("score", "predicted")]
-    slim = docs.select(*[F.col(f"`{f.name}`") for f in own])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = shared.value.score
         for b in batches:
             got = [score(t.as_py()) for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.float64())], names=[*b.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.float64())], names=[*b.schema.names, name])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.mapInArrow(run, f"{schema}, `{name}` double")
+
+
+def score_texts(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """docs with ``score`` and ``predicted`` added (docs needs ``text``; other columns stay)."""
+    slim = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("score", "predicted")])
+    return _with_score(slim, model, "score").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own)
-    return slim.mapInArrow(run, f"{schema}, score double").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that the classifier leaves, with all their columns as they are."""
+    (name,) = unused(docs, "score")
+    return _with_score(docs, model, name).where(F.col(name) < threshold).drop(name)
 
 
 def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
