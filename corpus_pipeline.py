@@ -11,7 +11,7 @@ from llm.session import discard, materialise, table
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier calls toxic go."""
     model = toxicity.fit(docs, toxicity.training_labels(spark, sf_dir))
-    return toxicity.score_texts(docs, model).where("predicted = 0").select(docs.columns)
+    return toxicity.drop_toxic(docs, model)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
