@@ -71,3 +71,33 @@ def set_fill(partitions: DataFrame, mapping: DataFrame) -> DataFrame:
     n = mapping.groupBy("year", "partition_no").agg(F.count("*").alias("_n"))
     kind = partitions.schema["fill_count"].dataType
     return partitions.join(n, ["year", "partition_no"], "left").withColumn("fill_count", F.coalesce("_n", F.lit(0)).cast(kind)).select(*partitions.columns)
+
+
+# ---- state by scope ---------------------------------------------------------------------------------
+
+STATE = "scope string, last_utime string, last_id long, checkpoint string, last_run_at string, status string"
+
+
+def get_state(states: DataFrame, *scopes: str) -> DataFrame:
+    return states.where(F.col("scope").isin(*scopes))
+
+
+def set_state(states: DataFrame, new: DataFrame) -> DataFrame:
+    """New rows of scopes patched in: a null keeps what is there."""
+    return patch(states, new, ["scope"])
+
+
+def clear_state(states: DataFrame, *scopes: str) -> DataFrame:
+    """Rows of the scopes removed, as a patch cannot make a field null."""
+    return states.where(~F.col("scope").isin(*scopes))
+
+
+def last_partition(states: DataFrame, scope: str) -> DataFrame:
+    """(scope, after): the partition at which a walk's checkpoint stands."""
+    return get_state(states, scope).select("scope", F.coalesce(F.get_json_object("checkpoint", "$.lastPartitionNo").try_cast("int"), F.lit(0)).alias("after"))
+
+
+def walk(partitions: DataFrame, after: int, budget: int | None) -> DataFrame:
+    """The next partitions in order after a checkpoint, at most ``budget`` of them."""
+    rest = partitions.where(F.col("partition_no") > after)
+    return rest if budget is None else rest.orderBy("partition_no").limit(budget)

@@ -1,9 +1,13 @@
-"""The flagship dataflow and the other runs, as plans with an ordered commit."""
+"""The flagship dataflow and the other runs.
+
+A run computes what is to be written once, writes records to the target (through a gateway, where there is one) and
+returns the new store.  Whoever owns the store commits it (plans.commit): tables first, the watermark last.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +16,7 @@ from syncweave.functions import eras
 from syncweave.functions.identity import derive_key, fingerprint, record_id
 from syncweave.operators import changes, packing, reconcile, state
 from syncweave.schema import KEY, PAYLOAD, Field, transform
-from syncweave.sources import fact, target
+from syncweave.sources import fact, target, writer
 from syncweave.storage import checkpointed
 
 SEED = "2026-07-03 00:00:00"
@@ -36,7 +40,10 @@ class Store:
     target: DataFrame
     watermark: str | None = None
     jobs: DataFrame | None = None
-    log: list[str] = field(default_factory=list)
+    states: DataFrame | None = None
+    gateway: writer.Gateway | None = None
+    #: years whose rows differ from the last commit; None: any
+    touched: tuple[int, ...] | None = ()
 
 
 @dataclass(frozen=True)
@@ -87,8 +94,9 @@ def changes_blocked(jobs: DataFrame) -> bool:
 def run_backfill(history: DataFrame, today: DataFrame | None, year: int, store: Store, capacity: int = 20_000, fields: tuple[Field, ...] = PAYLOAD) -> tuple[Store, Summary]:
     """All rows of a year by the same plan: rows that are mapped already are skipped or updated, not added again."""
     keep = store.watermark
-    fixed = packing.correct_fill(store.partitions, target.count_records(store.target), capacity)
-    store = Store(store.mapping, fixed, store.years, store.target, store.watermark, store.jobs, store.log)
+    here = store.target.where(F.col("year") == year)
+    fixed = packing.correct_fill(store.partitions.where(F.col("year") == year), target.count_records(here), capacity)
+    store = replace(store, partitions=store.partitions.where(F.col("year") != year).unionByName(fixed))
     rows = fact.latest_per_key(fact.year_rows(history, year), None if today is None else fact.year_rows(today, year))
     done, summary = _apply(rows, store, capacity, keep or "", fields, wide=True)
     done.watermark = keep
@@ -97,8 +105,12 @@ def run_backfill(history: DataFrame, today: DataFrame | None, year: int, store:
 
 def _apply(rows: DataFrame, store: Store, capacity: int, since: str, fields: tuple[Field, ...], wide: bool = False) -> tuple[Store, Summary]:
     # the rows are written once: counters, segments and slots all read the same version of them
-    rows = checkpointed(rows)
-    classified, placed, taken = plan(rows, store, capacity, fields, wide)
+    rows = checkpointed(rows.withColumn("_year", eras.cr_year(F.col("CrTime"))))
+    seen = tuple(sorted(r._year for r in rows.select("_year").distinct().collect() if r._year is not None))  # a row a year
+    rows = rows.drop("_year")
+    part = replace(store, mapping=store.mapping.where(F.col("year").isin(*seen)) if seen else store.mapping.limit(0))
+    classified, placed, taken = plan(rows, part, capacity, fields, wide)
+    classified = checkpointed(classified)
     counts = changes.counters(classified).first()
     if not counts.scanned:
         return store, Summary(since, since)
@@ -107,15 +119,21 @@ def _apply(rows: DataFrame, store: Store, capacity: int, since: str, fields: tup
     short = packing.shortfalls(store.partitions, need, capacity).collect()  # one row a year
     if short:
         raise CapacityError("; ".join(f"no partition capacity left for year {r.year}: {r.missing} of {r.need} rows too many" for r in short))
-    placed = placed.withColumn("record_id", record_id(F.col("year"), F.col("source_key")))
+    placed = checkpointed(placed.withColumn("record_id", record_id(F.col("year"), F.col("source_key"))))
+    moved = classified.where("action = 'update'")
     ce = lambda c: F.expr(f"concat(cast(try_cast(substring({c}, 1, 4) as int) - {eras.OFFSET_YEARS} as string), substring({c}, 5))")
     cols = ["year", "base_id", "source_key", "partition_no", "table_id", "record_id", "checksum", ce("_cr").alias("cr_time"), ce("_u").alias("u_time")]
-    touched = placed.select(*cols).unionByName(classified.where("action = 'update'").select(*cols))
-    log = [*store.log, "target", "boundaries", "mapping", "watermark"]
-    new_target = target.create_records(store.target, placed.select("year", "table_id", "record_id"))
+    touched = placed.select(*cols).unionByName(moved.select(*cols))
+    years = tuple(r.year for r in touched.select("year").distinct().orderBy("year").collect())
+    record = ["year", "table_id", "record_id", "payload"]
+    if store.gateway is not None:
+        writer.create(store.gateway, placed.select(*record))
+        writer.update(store.gateway, moved.select(*record))
+    new_target = target.update_records(target.create_records(store.target, placed.select(*record)), moved.select(*record))
     fills = state.patch(store.partitions, _grown(store.partitions, taken), ("year", "partition_no"))
     parts = state.update_boundaries(fills, packing.boundaries(placed))
-    done = Store(state.upsert_mapping(store.mapping, touched), parts, store.years, new_target, mark, store.jobs, log)
+    mapping = state.upsert_mapping(store.mapping, touched)
+    done = replace(store, mapping=mapping, partitions=parts, target=new_target, watermark=mark, touched=years)
     return done, Summary(since, mark, counts.scanned, counts.inserted, counts.updated, counts.skipped, counts.ignored_rows, tuple(counts.ignored_years))
 
 
@@ -124,15 +142,29 @@ def _grown(partitions: DataFrame, taken: DataFrame) -> DataFrame:
 
 
 def clear_year(store: Store, year: int) -> Store:
-    """A year's records, mappings and fill pointers gone; its tables stay."""
+    """A year's records, mappings, fill pointers and backfill checkpoint gone; its tables stay."""
     here = F.col("year") == year
-    return Store(state.delete_years(store.mapping, year), state.reset_partitions(store.partitions, year), store.years, store.target.where(~here), store.watermark, store.jobs, [*store.log, f"clear {year}"])
+    if store.gateway is not None:
+        writer.delete(store.gateway, store.target.where(here))
+    left = None if store.states is None else state.clear_state(store.states, f"full_sync:{year}")
+    return replace(store, mapping=state.delete_years(store.mapping, year), partitions=state.reset_partitions(store.partitions, year), target=store.target.where(~here), states=left, touched=(year,))
 
 
 def heal(store: Store, source_rows: DataFrame) -> tuple[Store, DataFrame]:
-    """(the healed store, what was done by partition): orphans go, missing records come back, fills are recounted."""
-    done = reconcile.heal_actions(store.partitions, store.mapping, store.target, source_rows)
-    back = reconcile.recreate(reconcile.missing(store.mapping, store.target), source_rows)
-    kept = target.delete_records(store.target, reconcile.orphans(store.target, store.mapping))
-    healed = target.create_records(kept, back.select("year", "table_id", "record_id"))
-    return Store(store.mapping, state.set_fill(store.partitions, store.mapping), store.years, healed, store.watermark, store.jobs, [*store.log, "heal"]), done
+    """(the healed store, what was done by partition): orphans go, missing records come back whole, fills are recounted.
+
+    source_rows(source_key, payload, checksum) of the years of the store; the mapping takes the fingerprint of what is written.
+    """
+    lost = checkpointed(reconcile.missing(store.mapping, store.target).join(source_rows.select("source_key", "payload", F.col("checksum").alias("_c")), "source_key"))
+    gone = checkpointed(reconcile.orphans(store.target, store.mapping))
+    n = lambda rows, name: rows.groupBy("table_id").agg(F.count("*").cast("long").alias(name))
+    found = store.partitions.select("year", "partition_no", "table_id").join(n(gone, "orphans_deleted"), "table_id", "left").join(n(lost, "recreated"), "table_id", "left")
+    done = checkpointed(found.na.fill(0, ["orphans_deleted", "recreated"]).where("orphans_deleted > 0 or recreated > 0"))
+    record = lost.select("year", "table_id", "record_id", "payload")
+    if store.gateway is not None:
+        writer.delete(store.gateway, gone)
+        writer.create(store.gateway, record)
+    healed = target.create_records(target.delete_records(store.target, gone), record)
+    mapping = state.upsert_mapping(store.mapping, lost.drop("payload", "checksum").withColumnRenamed("_c", "checksum").select(*store.mapping.columns))
+    touched = tuple(r.year for r in done.select("year").distinct().collect())
+    return replace(store, mapping=mapping, partitions=state.set_fill(store.partitions, store.mapping), target=healed, touched=touched), done

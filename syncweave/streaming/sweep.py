@@ -1,4 +1,4 @@
-"""The sweep as a Structured Streaming sink over a parquet-backed state folder.
+"""The sweep as a Structured Streaming sink over the committed state.
 
 Spark's commit log decides which files a batch has; the state folder is versioned, and its pointer is
 written last.  A batch that is repeated after a crash finds its number in the pointer, or is applied to
@@ -7,44 +7,13 @@ the state before it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from syncweave.plans.incremental import PAYLOAD, Store, Summary, _apply
+from syncweave.plans.commit import StateFolder
+from syncweave.plans.incremental import PAYLOAD, Summary, _apply
 from syncweave.schema import Field
 from syncweave.sources.fact import latest_per_key
 
-TABLES = ("mapping", "partitions", "years", "target")
-
-
-class StateFolder:
-    """Versions of the store under one path that all executors share."""
-
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def _pointers(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema("version long, watermark string").json(f"{self.path}/versions/*")
-        except Exception as e:  # the folder's first use
-            if "PATH_NOT_FOUND" in str(e):
-                return None
-            raise
-
-    def latest(self) -> tuple[int, str | None]:
-        found = self._pointers()
-        row = None if found is None else found.agg(F.max_by(F.struct("version", "watermark"), "version").alias("m")).first().m
-        return (-1, None) if row is None else (row.version, row.watermark)
-
-    def load(self) -> Store:
-        version, mark = self.latest()
-        return Store(*[self.spark.read.parquet(f"{self.path}/{t}/v{version}") for t in TABLES], watermark=mark)
-
-    def save(self, store: Store, version: int) -> None:
-        for t in TABLES:
-            getattr(store, t).write.mode("overwrite").parquet(f"{self.path}/{t}/v{version}")
-        self.spark.createDataFrame([(version, store.watermark)], "version long, watermark string").coalesce(1).write.mode("overwrite").json(f"{self.path}/versions/v{version}")
-
 
 def sweep_batch(folder: StateFolder, batch: DataFrame, batch_id: int, capacity: int, fields: tuple[Field, ...] = PAYLOAD) -> Summary | None:
     """One micro-batch; None if it was applied before."""
@@ -54,6 +23,7 @@ def sweep_batch(folder: StateFolder, batch: DataFrame, batch_id: int, capacity:
     done, summary = _apply(latest_per_key(batch), folder.load(), capacity, mark or "", fields)
     done.watermark = max(filter(None, (mark, summary.new_watermark)), default=None)
     folder.save(done, batch_id + 1)
+    folder.prune()
     return summary
 
 

@@ -102,3 +102,30 @@ def test_migrations(spark):
     ran = []
     ledger = migrations.run_pending(have, done, lambda f: f"A {f}; B {f}", ran.append)
     assert ran == ["A 002.sql", "B 002.sql", "A 003.sql", "B 003.sql"] and ledger.count() == 3
+
+
+def test_walks_stop_at_their_budget_and_go_on(spark):
+    s = service(spark, 4)
+    s.incremental()
+    assert s.state("incremental").first().last_utime == "2026-07-04 10:00:00"
+    one = lambda: [r.partition_no for r in s.check(2026, budget=1).collect()]
+    assert [one(), one(), one()] == [[1], [2], [1]]
+    assert s.state("full_sync_check:2026").first().checkpoint == '{"lastPartitionNo": 1}'
+    s.store.target = s.store.target.limit(0)
+    assert [(r.partition_no, r.recreated) for r in s.heal(2026, budget=1).collect()] == [(1, 3)] and s.store.target.count() == 3
+    assert [(r.partition_no, r.recreated) for r in s.heal(2026, budget=1).collect()] == [(2, 1)] and s.store.target.where("payload.SRP = 1.0").count() == 4
+    more = spark.createDataFrame([("itec_001",), ("itec_002",)], "name string")
+    assert [r.partition_no for r in s.remove_partitions(2026, more, budget=1).collect()] == [1]
+    assert s.store.mapping.count() == 1 and s.store.target.count() == 1
+
+
+def test_service_over_a_folder(spark, tmp_path):
+    from syncweave.plans.commit import StateFolder
+
+    s = service(spark, 4)
+    s.folder = StateFolder(spark, str(tmp_path))
+    s.incremental()
+    s.enqueue("clear_partitions", 2026, confirm=True)
+    assert s.work(NOW) == (1, "done") and s.store.mapping.count() == 0
+    again = sv.Service(s.folder.load(), s.history, s.today, capacity=3, count=3, folder=s.folder)
+    assert again.store.jobs.first().status == "done" and again.store.partitions.agg({"fill_count": "sum"}).first()[0] == 0
