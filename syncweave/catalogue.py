@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from syncweave.functions import eras, identity, names
 from syncweave.operators import changes, jobs, packing, provision, quality, reconcile, state
 from syncweave.plans import frames as fr
-from syncweave.schema import KEY, schema_drift, transform
+from syncweave.schema import KEY, PAYLOAD, schema_drift, transform
 from syncweave.sources import fact as sources
 from syncweave.sources import target as targets
+from syncweave.storage import checkpointed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -46,7 +47,7 @@ _CTES = {
         FROM source s LEFT JOIN mapping m ON m.year = s.year AND m.source_key = s.source_key LEFT JOIN (SELECT year FROM years WHERE status = 'complete') y ON y.year = s.year""",
     "need": "SELECT year, count(*) AS need FROM classified WHERE action = 'insert' GROUP BY year",
     "numbered": """SELECT year, source_key, "UTime", "SellID", "RowNo", "SellBranch", row_number() OVER (PARTITION BY year ORDER BY "UTime", "SellID", "RowNo", "SellBranch") AS rn FROM classified WHERE action = 'insert'""",
-    "rooms": "SELECT *, 20000 - fill_count AS room, sum(20000 - fill_count) OVER (PARTITION BY year ORDER BY partition_no) AS hi FROM parts WHERE fill_count < 20000",
+    "rooms": "SELECT *, 500 - fill_count AS room, sum(500 - fill_count) OVER (PARTITION BY year ORDER BY partition_no) AS hi FROM parts WHERE fill_count < 500",
     "segs": """SELECT r.year, r.partition_no, r.table_id, r.fill_count AS start_index, least(r.room, n.need - (r.hi - r.room))::BIGINT AS count, (r.hi - r.room)::BIGINT AS "offset"
         FROM rooms r JOIN need n ON n.year = r.year WHERE r.hi - r.room < n.need""",
     "slots": """SELECT n.year, n.source_key, s.partition_no, s.table_id, (s.start_index + n.rn - 1 - s."offset")::BIGINT AS slot
@@ -287,7 +288,7 @@ def _inserts(spark, d):
 
 
 def _segments(spark, d, new):
-    return packing.segments(fr.partitions(spark), new.groupBy("year").agg(F.count("*").alias("need")), names.ROWS)
+    return packing.segments(fr.partitions(spark), new.groupBy("year").agg(F.count("*").alias("need")), fr.CAPACITY)
 
 
 @_query("segs", "SELECT * FROM segs")
@@ -295,9 +296,9 @@ def reserve_slots(spark, d):
     return _segments(spark, d, _inserts(spark, d))
 
 
-def _slots(spark, d):
-    new = _inserts(spark, d)
-    return packing.assign_slots(packing.number_rows(new, ["UTime", "SellID", "RowNo", "SellBranch"]), _segments(spark, d, new))
+def _slots(spark, d, wide=False):
+    new = checkpointed(_inserts(spark, d))  # needed for the counts and for the rows
+    return packing.assign_slots(packing.number_rows(new, ["UTime", "SellID", "RowNo", "SellBranch"], wide=wide), _segments(spark, d, new))
 
 
 @_query("slots", "SELECT * FROM slots")
@@ -305,6 +306,26 @@ def slot_assignment(spark, d):
     return _slots(spark, d).select("year", "source_key", "partition_no", "table_id", "slot")
 
 
+@_query("slots", "SELECT * FROM slots")
+def slot_assignment_wide(spark, d):
+    """The same slots, numbered by ranges of the whole order: no task sorts a year alone."""
+    return _slots(spark, d, wide=True).select("year", "source_key", "partition_no", "table_id", "slot")
+
+
+@_query("tgt classified mapping slots", """SELECT t.table_id, t.record_id, u."Product" AS product FROM tgt t LEFT JOIN
+    (SELECT m.table_id, m.record_id, c."Product" FROM classified c JOIN mapping m ON m.year = c.year AND m.source_key = c.source_key WHERE c.action = 'update') u
+    ON u.table_id = t.table_id AND u.record_id = t.record_id UNION ALL
+    SELECT s.table_id, 'rec' || substr(md5(s.year || '|' || s.source_key), 1, 20), c."Product" FROM slots s JOIN classified c ON c.year = s.year AND c.source_key = s.source_key""")
+def sweep_target(spark, d):
+    """The target's records after a sweep: inserts and updates with their payload."""
+    classified = checkpointed(changes.classify(fr.source(spark, d), fr.mapping(spark, d), fr.years(spark)))
+    record = ["table_id", "record_id", F.col("Product").alias("product")]
+    new = classified.where("action = 'insert'").drop("partition_no", "table_id", "record_id")
+    placed = packing.assign_slots(packing.number_rows(new, ["UTime", "SellID", "RowNo", "SellBranch"]), _segments(spark, d, new))
+    made = targets.create_records(fr.target(spark, d), placed.withColumn("record_id", identity.record_id(F.col("year"), F.col("source_key"))).select("year", *record))
+    return targets.update_records(made, classified.where("action = 'update'").select(*record)).select("table_id", "record_id", "product")
+
+
 @_query("slots", """SELECT year, partition_no, max(CASE WHEN slot = 0 THEN source_key END) AS first_source_key, arg_max(source_key, slot) AS last_source_key, max(slot) AS last_slot FROM slots GROUP BY year, partition_no""")
 def partition_boundaries(spark, d):
     return packing.boundaries(_slots(spark, d))
@@ -420,6 +441,35 @@ def patch_state(spark, d):
     return state.patch(old, new, ["scope"])
 
 
+def _states(spark, d):
+    """A scope for each nation; the walks of some stand at a partition."""
+    n = F.col("n_nationkey")
+    at = F.when(n % 3 == 0, F.concat(F.lit('{"lastPartitionNo": '), (n % 41).cast("string"), F.lit("}")))
+    return fr.read(spark, d, "nation").select(F.concat(F.lit("full_sync_check:"), n.cast("string")).alias("scope"), at.alias("checkpoint"), F.when(n % 2 == 0, "idle").alias("status"))
+
+
+_STATES = """(SELECT 'full_sync_check:' || n_nationkey AS scope, CASE WHEN n_nationkey % 3 = 0 THEN '{"lastPartitionNo": ' || (n_nationkey % 41) || '}' END AS checkpoint,
+    CASE WHEN n_nationkey % 2 = 0 THEN 'idle' END AS status FROM nation)"""
+
+
+@_query("", f"SELECT * FROM {_STATES} WHERE scope IN ('full_sync_check:7', 'full_sync_check:9')")
+def get_state(spark, d):
+    return state.get_state(_states(spark, d), "full_sync_check:7", "full_sync_check:9")
+
+
+@_query("", f"SELECT scope, status FROM {_STATES} WHERE scope <> 'full_sync_check:7'")
+def clear_state(spark, d):
+    return state.clear_state(_states(spark, d), "full_sync_check:7").select("scope", "status")
+
+
+@_query("parts", f"""SELECT partition_no, table_id FROM parts WHERE year = 1997 AND partition_no > (SELECT coalesce(max((checkpoint->>'$.lastPartitionNo')::INT), 0) FROM {_STATES} WHERE scope = 'full_sync_check:9')
+    ORDER BY partition_no LIMIT 5""")
+def resume_walk(spark, d):
+    """The five partitions after a walk's checkpoint."""
+    after = state.last_partition(_states(spark, d), "full_sync_check:9").first().after
+    return state.walk(fr.partitions(spark).where("year = 1997"), after, 5).select("partition_no", "table_id")
+
+
 @_query("mapping", "SELECT year, source_key FROM mapping WHERE NOT (year = 1997 AND partition_no BETWEEN 1 AND 9)")
 def delete_partitions_mapping(spark, d):
     gone = fr.partitions(spark).where("year = 1997 and partition_no between 1 and 9")
@@ -542,7 +592,13 @@ def identity_profile(spark, d):
     return quality.identity_profile(fr.fact(spark, d))
 
 
-@_query()
+_ACTUAL = ["SellBranch", "SellID", "RowNo", "CrTime", "UTime", "part", "Product", "NUMBER", "SRP", "Comment"]
+_LIST = lambda names: "(SELECT unnest([" + ", ".join(f"'{n}'" for n in names) + "]) AS column_name)"
+_DECLARED = [*[f.name for f in PAYLOAD], "RowNo"]
+
+
+@_query("", f"""SELECT column_name, 'missing' AS drift FROM {_LIST(_DECLARED)} WHERE column_name NOT IN {_LIST(_ACTUAL)}
+    UNION ALL SELECT column_name, 'extra' FROM {_LIST(_ACTUAL)} WHERE column_name NOT IN {_LIST(_DECLARED)}""")
 def schema_differences(spark, d):
     return schema_drift(fr.fact(spark, d))
 
