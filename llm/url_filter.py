@@ -20,19 +20,39 @@ from pyspark.sql import functions as F
 from llm.session import table
 
 #: Terms that reject a url alone.
-STRICT = (
-    "adult", "bdsm", "camgirls", "casino", "escort", "escorts", "hentai", "hookup", "malware", "milf",
-    "nsfw", "nude", "nudes", "onlyfans", "phishing", "porn", "porno", "pornhub", "spam", "sexcam",
-    "viagra", "warez", "webcamsex", "xhamster", "xnxx", "xvideos", "xxx",
-)
-#: Terms of which several distinct ones reject, with their weights.
-SOFT = {
-    "ads": 1, "bet": 1, "bets": 1, "betting": 1, "bonus": 1, "cam": 1, "cheap": 1, "cialis": 1, "crack": 1,
-    "dating": 1, "deal": 1, "farm": 1, "free": 1, "gambling": 1, "girls": 1, "jackpot": 1, "keygen": 1,
-    "loan": 1, "loans": 1, "pharma": 1, "pills": 1, "poker": 1, "sex": 1, "slots": 1, "teen": 1,
-    "torrent": 1, "track": 1, "win": 1,
-}
-THRESHOLD = 2
+STRICT = tuple(
+    """
+    adult anal asstube bdsm blowjob boobs brothel bukkake camgirl camgirls camsex camwhores carding casino crackz creampie
+    cumshot cunnilingus deepthroat dildo erotic erotica escort escorts femdom fetish fleshlight gangbang hardcoresex
+    hentai hookup hookups keyloggers kinky latinas malware masturbation milf milfs nsfw nude nudes nudist onlyfans orgasm
+    orgy phishing phishkit playboy porn porngif pornhub porno pornos pornstar pornstars pornvideos redtube serialz sexcam
+    sexcams sexchat sexshop sexting sextoys sexvideos shemale slut sluts spam spambot spammer spankbang stripclub stripper
+    strippers striptease swingers threesome threesomes tits titties topless upskirt viagra voyeur warez webcamsex whore
+    xhamster xnxx xrated xvideo xvideos xxx xxxvideos youjizz youporn
+    """.split()
+)
+#: Soft terms by weight, from telling ones to ones that ordinary urls hold as well.
+_BY_WEIGHT = {
+    3: """
+    baccarat bet bets betting blackjack bookmaker bookmakers cam cams cialis crack cracked cracks dating gambling jackpot
+    keygen keygens levitra loan loans painkillers payday pharma pills poker roulette serials sex sexy slots steroids
+    torrent torrents tramadol valium wager xanax
+    """,
+    2: """
+    antivirusfree babes binary botox cashback cheats chicks cleavage clickbank cocaine cracker dietpills doxxing forex
+    giveaway hacked hacks hot hotties incest kamagra kratom lingerie lottery lotto mlm nudity nulled opioid pharmacy
+    pirate pirated proxies ransomware replica replicas ringtones rolex rootkit scam seo singles spins sweepstakes teen
+    teens tiktokfollowers unblocked unlocker webcam webcams weightloss
+    """,
+    1: """
+    ads bonus bonuses cash cheap coupon coupons credit deal deals discount discounts earn farm free gift girls instant
+    invest luck lucky mature offer offers penny prize prizes profit promo promos quick refinance rich sale sales spin
+    track vip win winner winners wins
+    """,
+}
+SOFT = {term: weight for weight, terms in _BY_WEIGHT.items() for term in terms.split()}
+#: More than any single weight, so that no soft term rejects alone.
+THRESHOLD = 4
 #: Fixed values: (action, host, path prefix).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -131,9 +151,10 @@ def op4_url_filters(spark, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    hit = lambda t: f"regexp_matches(low, '(^|[^a-z0-9]){t}([^a-z0-9]|$)')::BIGINT"
-    strict, soft = " + ".join(map(hit, STRICT)), " + ".join(map(hit, SOFT))
-    weight = " + ".join(f"{w} * {hit(t)}" for t, w in SOFT.items())
+    listed = lambda terms: "[" + ", ".join(f"'{t}'" for t in terms) + "]"
+    # a term of letters and digits with boundaries on both sides is a whole run of them
+    among = lambda terms: f"len(list_intersect(runs, {listed(terms)}))"
+    weight = " + ".join(f"{w} * {among([t for t in SOFT if SOFT[t] == w])}" for w in sorted(set(SOFT.values())))
     fits = lambda h, p: f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))"
     order = sorted(RULES, key=lambda r: (-len(r[1] + r[2]), r[1] + r[2]))
     rule = " ".join(f"WHEN {fits(h, p)} THEN '{h}{p}'" for _, h, p in order)
@@ -143,10 +164,10 @@ WITH u AS (
   SELECT page_id, translate(coalesce(url, ''), '{_UPPER}', '{_LOWER}') AS low,
          CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), s AS (
-  SELECT page_id, low, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
+  SELECT page_id, list_distinct(regexp_extract_all(low, '[a-z0-9]+')) AS runs, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u
 ), c AS (
-  SELECT page_id, host, path, {strict} AS n_strict, {soft} AS n_soft, {weight} AS soft_weight FROM s
+  SELECT page_id, host, path, {among(STRICT)}::BIGINT AS n_strict, {among(SOFT)}::BIGINT AS n_soft, {weight} AS soft_weight FROM s
 )
 SELECT page_id, host, path, CASE {rule} END AS rule,
        coalesce(CASE {action} END, CASE WHEN n_strict >= 1 OR soft_weight >= {THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict,
