@@ -39,15 +39,16 @@ _BY_WEIGHT = {
     torrent torrents tramadol valium wager xanax
     """,
     2: """
-    antivirusfree babes binary botox cashback cheats chicks cleavage clickbank cocaine cracker dietpills doxxing forex
-    giveaway hacked hacks hot hotties incest kamagra kratom lingerie lottery lotto mlm nudity nulled opioid pharmacy
-    pirate pirated proxies ransomware replica replicas ringtones rolex rootkit scam seo singles spins sweepstakes teen
-    teens tiktokfollowers unblocked unlocker webcam webcams weightloss
+    ads adserver adservers antivirusfree babes binary botox cashback cheats chicks cleavage clickbank cocaine cracker
+    dietpills doxxing forex giveaway hacked hacks hot hotties incest kamagra kratom lingerie lottery lotto mlm nudity
+    nulled opioid pharmacy pirate pirated popunder popups proxies ransomware replica replicas ringtones rolex rootkit scam
+    seo singles spins sweepstakes teen teens tiktokfollowers track tracker trackers unblocked unlocker webcam webcams
+    weightloss
     """,
     1: """
-    ads bonus bonuses cash cheap coupon coupons credit deal deals discount discounts earn farm free gift girls instant
-    invest luck lucky mature offer offers penny prize prizes profit promo promos quick refinance rich sale sales spin
-    track vip win winner winners wins
+    bonus bonuses cash cheap coupon coupons credit deal deals discount discounts earn farm free gift girls instant invest
+    luck lucky mature offer offers penny prize prizes profit promo promos quick refinance rich sale sales spin vip win
+    winner winners wins
     """,
 }
 SOFT = {term: weight for weight, terms in _BY_WEIGHT.items() for term in terms.split()}

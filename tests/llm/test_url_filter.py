@@ -29,6 +29,7 @@ def test_query_matches_sql(spark, duck):
         ("http://free.com/win/prize-cash", "free.com", "/win/prize-cash", None, "block"),
         ("http://poker.com/poker?poker", "poker.com", "/poker", None, "allow"),
         ("http://lottery.com/teen", "lottery.com", "/teen", None, "block"),
+        ("http://ads-track.x.com/a", "ads-track.x.com", "/a", None, "block"),
         ("no scheme", "", "", None, "allow"),
         ("xxx", "", "", None, "block"),
         (None, "", "", None, "allow"),
