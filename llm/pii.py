@@ -51,6 +51,8 @@ CUES = {
 }
 AGAINST = "version|release|chapter|section|figure|rev|isbn|part no"
 CONTEXT = 24
+#: matches whose lengths are added up together
+RUN = 128
 VOTES = ("v_check", "v_list", "v_words", "v_shape")
 
 
@@ -64,14 +66,29 @@ def _matches(kind: str) -> Column:
     return found.alias(f"f_{kind}")
 
 
+def _lengths(kind: str) -> Column:
+    """The length of every match with the piece before it."""
+    f = f"f_{kind}"
+    return F.expr(f"CASE WHEN size({f}.m) > 0 THEN transform(sequence(0, size({f}.m) - 1), i -> length({f}.g[i]) + length({f}.m[i])) ELSE cast(array() as array<int>) END").alias(f"l_{kind}")
+
+
+def _run_starts(kind: str) -> Column:
+    """Where every run of ``RUN`` matches begins, so that no position is a sum over all matches before it."""
+    own = f"l_{kind}"
+    runs = f"CASE WHEN size({own}) > 0 THEN sequence(0, (size({own}) - 1) div {RUN}) ELSE array() END"
+    return F.expr(
+        f"""aggregate({runs}, named_struct('p', 0, 'a', cast(array() as array<int>)), (acc, k) -> named_struct(
+        'p', acc.p + aggregate(slice({own}, cast(k * {RUN} + 1 as int), {RUN}), 0, (x, y) -> x + y), 'a', concat(acc.a, array(acc.p)))).a"""
+    ).alias(f"b_{kind}")
+
+
 def _spans(kind: str) -> Column:
     f = f"f_{kind}"
     typed = "cast(array() as array<struct<s:int,e:int,t:string,c:string>>)"
-    at = f"acc.p + length({f}.g[i])"
+    at = f"b_{kind}[cast(i div {RUN} as int)] + aggregate(slice(l_{kind}, cast(i div {RUN} * {RUN} + 1 as int), i % {RUN}), 0, (x, y) -> x + y) + length({f}.g[i])"
     return F.expr(
-        f"""CASE WHEN size({f}.m) > 0 THEN aggregate(sequence(0, size({f}.m) - 1), named_struct('p', 0, 'a', {typed}),
-        (acc, i) -> named_struct('p', {at} + length({f}.m[i]),
-          'a', concat(acc.a, array(named_struct('s', {at}, 'e', {at} + length({f}.m[i]), 't', {f}.m[i], 'c', lower(right({f}.g[i], {CONTEXT}))))))).a
+        f"""CASE WHEN size(l_{kind}) > 0 THEN transform(sequence(0, size(l_{kind}) - 1),
+        i -> named_struct('s', {at}, 'e', {at} + length({f}.m[i]), 't', {f}.m[i], 'c', lower(right({f}.g[i], {CONTEXT}))))
         ELSE {typed} END"""
     )
 
@@ -119,7 +136,9 @@ def candidate_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, spans): every proposed span of every row with its votes."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     found = slim.select("doc_id", *[_matches(k) for k in KINDS])
-    placed = found.select("doc_id", *[_spans(k).alias(f"s_{k}") for k in KINDS])
+    sized = found.select("*", *[_lengths(k) for k in KINDS])
+    begun = sized.select("*", *[_run_starts(k) for k in KINDS])
+    placed = begun.select("doc_id", *[_spans(k).alias(f"s_{k}") for k in KINDS])
     return placed.select("doc_id", F.expr("concat(" + ", ".join(_candidates(k, i) for i, k in enumerate(KINDS)) + ")").alias("spans"))
 
 

@@ -111,3 +111,8 @@ def test_long_secrets_and_secrets_about_base_spans_are_whole(spark):
     check(df, texts)
     for r in df.collect():
         assert f"secret:3:{len(texts[r.doc_id]) - 5}" in r.spans.split(",") and r.n_secret == 1
+
+
+def test_many_spans_of_a_text_have_the_right_places(spark):
+    texts = {n: "é see 10.2.3.4, +49 319 555 5132 or x@y.org;" * n for n in (1, 127, 128, 129, 256, 257, 20_000)}
+    check(pii.find_pii(spark.createDataFrame(list(texts.items()), "doc_id long, text string")), texts)
