@@ -3,6 +3,7 @@ from collections import Counter
 
 import public_tokenizers
 from conftest import DATA
+from test_decontamination import heads_near_items
 from test_near_dedup import shingles
 
 import corpus_pipeline as cp
@@ -91,3 +92,10 @@ def test_stages_on_null_repeated_and_empty_rows(spark):
     assert counts["line_dedup"] == Counter({"1": 1, "2": 1, "3": 2, "None": 2, "4": 1})
     assert counts["minhash_near_dedup"] == Counter({"1": 1, "2": 1, "3": 1, "None": 1, "4": 1})
     assert cp.STAGES[-1][1](spark, df, DATA).count() == len(rows)
+
+
+def test_decontamination_stage_looks_at_whole_texts_for_its_thresholds(spark, tmp_path):
+    docs, items = heads_near_items()
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = {r.doc_id for r in cp.decontamination_stage(spark, spark.createDataFrame(docs, "doc_id long, text string"), str(tmp_path)).collect()}
+    assert set(range(100)) <= left and len(left) <= 101
