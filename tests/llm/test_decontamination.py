@@ -216,3 +216,27 @@ def test_thresholds_are_those_of_all_windows_of_whole_texts(spark, monkeypatch):
     assert (exact > 0.3).any()
     assert (block.least <= exact + 1e-4).all() and (block.least >= exact - 0.7 / 256 - 1e-4).all()
     assert (5003, 0) in got and len([x for x in got if x[0] == 1000 + x[1]]) >= 11
+
+
+def common_topic(seed=17, texts=200, n_items=12):
+    """(docs, items): most windows are of the items' topic; ids from 1000 on hold 15 of an item's 24 words in order amid another topic."""
+    rnd = random.Random(seed)
+    near, far = [f"n{i}" for i in range(60)], [[f"f{k}w{i}" for i in range(60)] for k in range(5)]
+    docs = [(d, " ".join(rnd.choices(near if d < 0.7 * texts else far[d % 5], k=300))) for d in range(texts)]
+    items = []
+    for i in range(n_items):
+        words, own = rnd.sample(near, 24), far[i % 5]
+        items.append((i, " ".join(words)))
+        lost = set(rnd.sample(range(24), 9))
+        reworded = [rnd.choice(own) if k in lost else w for k, w in enumerate(words)]
+        docs.append((1000 + i, " ".join(rnd.choices(own, k=80) + reworded + rnd.choices(own, k=80))))
+    return docs, items
+
+
+def test_query_finds_items_among_many_windows_of_their_topic(spark, tmp_path):
+    """More windows than the share that an item's own threshold lets through are nearer to it than the text that holds it."""
+    docs, items = common_topic()
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {(r.doc_id, r.item_id) for r in dc.op9_decontamination(spark, str(tmp_path)).collect()}
+    assert {(1000 + i, i) for i, _ in items} <= got and len(got) <= 2 * len(items)
