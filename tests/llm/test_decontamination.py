@@ -240,3 +240,27 @@ def test_query_finds_items_among_many_windows_of_their_topic(spark, tmp_path):
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = {(r.doc_id, r.item_id) for r in dc.op9_decontamination(spark, str(tmp_path)).collect()}
     assert {(1000 + i, i) for i, _ in items} <= got and len(got) <= 2 * len(items)
+
+
+def test_candidates_leave_out_no_window_that_holds_an_item():
+    """Short items, items of one word many times, and one of more than 256 words, against every window by itself."""
+    rnd, text, items, docs = corpus(9, 40)
+    long = text(600)
+    items = [*items, (30, "the"), (31, "the of"), (32, "the " * 30), (33, "zz " * 9 + "yy"), (34, long), (35, text(20) + " the" * 12)]
+    docs = [t for _, t in docs] + ["", "the", "zz zz yy " * 6, "of the " * 300, *(f"{text(60)} {edited(rnd, i, 0.3)} {text(60)}" for _, i in items)]
+    ((_, _, hashes, counts),) = dc.word_hashes(pa.array(docs), dc.PLAIN)
+    idf = np.random.default_rng(2).uniform(0.1, 3, dc.TERMS).astype(np.float32)
+    basis = np.linalg.qr(np.random.default_rng(3).standard_normal((dc.TERMS, dc.RANK)))[0].astype(np.float32)
+    weighted = np.concatenate([idf[:, None] * basis, np.zeros((1, dc.RANK), dtype=np.float32)])
+    block = dc.Items([i for i, _ in items], [t for _, t in items], idf, basis)
+    begins, want = np.cumsum(counts) - counts, set()
+    sums = dc._block_sums((hashes >> dc._TERM_SHIFT).astype(np.int16), counts, weighted)
+    for wide, ks in block.groups:
+        x, at, first = dc._windows(sums, counts, wide)
+        for w in range(len(x)):
+            a = first[w] * dc.BLOCK - wide * dc.BLOCK // 2
+            part = hashes[begins[at[w]] + max(0, a) : begins[at[w]] + min(counts[at[w]], a + wide * dc.BLOCK + 2 * (wide * dc.BLOCK // 2))]
+            want |= {(at[w], k) for k in ks if x[w] @ block.spots[k] >= 0.3 and dc.matches(block, k, part, 0.6, 0.5) is not None}
+    found = dc._candidates(block, weighted, 0.6, 0.5, hashes, counts)
+    got = {(t, k) for t, k, _, a, b in found if dc.matches(block, k, hashes[begins[t] + a : begins[t] + b], 0.6, 0.5) is not None}
+    assert got == want and len(want) > 40
