@@ -3,7 +3,7 @@ from collections import Counter
 
 import public_tokenizers
 from conftest import DATA
-from test_decontamination import heads_near_items
+from test_decontamination import common_topic, heads_near_items
 from test_near_dedup import shingles
 
 import corpus_pipeline as cp
@@ -99,3 +99,11 @@ def test_decontamination_stage_looks_at_whole_texts_for_its_thresholds(spark, tm
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     left = {r.doc_id for r in cp.decontamination_stage(spark, spark.createDataFrame(docs, "doc_id long, text string"), str(tmp_path)).collect()}
     assert set(range(100)) <= left and len(left) <= 101
+
+
+def test_decontamination_stage_drops_items_among_many_windows_of_their_topic(spark, tmp_path):
+    docs, items = common_topic()
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = cp.decontamination_stage(spark, spark.createDataFrame(docs, "doc_id long, text string"), str(tmp_path))
+    kept = {r.doc_id for r in left.collect()}
+    assert not {d for d in kept if d >= 1000} and len(kept) >= 0.95 * len([d for d, _ in docs if d < 1000])
